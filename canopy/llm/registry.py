@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["exact_dedup", "hilbert_shards", "pack"]
+MODULES = ["exact_dedup", "hilbert_shards", "pack", "simhash", "decontaminate"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
