@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["exact_dedup", "hilbert_shards", "pack", "simhash", "decontaminate"]
+MODULES = ["exact_dedup", "substring_dedup", "pack", "simhash", "decontaminate", "hilbert_shards"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
