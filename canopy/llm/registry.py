@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["quality", "exact_dedup", "substring_dedup", "pack", "lm_score", "simhash", "decontaminate", "hilbert_shards"]
+MODULES = ["quality", "exact_dedup", "substring_dedup", "url_trust", "pack", "pseudonyms", "lm_score", "simhash", "decontaminate", "hilbert_shards"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
