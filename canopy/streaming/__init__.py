@@ -1 +1 @@
-
+"""Incremental harvests as streams."""
