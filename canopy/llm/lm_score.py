@@ -112,7 +112,8 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, labels: DataF
     for k, r in enumerate(frequent[: symbols - 2]):
         symbol[r["byte"]] = k + 1
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("target"))
-    marked = docs.join(good, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    # Labels grow with the documents: the join is dealt by key at every size, never broadcast.
+    marked = docs.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counted = marked.mapInArrow(_counter(symbol, order, symbols), "code int, n_all long, n_target long")
     got = work.save(counted.groupBy("code").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")), "counts").toArrow()  # at most symbols ** order rows
     counts = np.zeros((2, symbols**order), np.int64)
