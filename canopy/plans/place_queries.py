@@ -77,7 +77,8 @@ def nearest_vote(spark: SparkSession, sf: str) -> DataFrame:
 
 # Reconciliation ----------------------------------------------------------
 
-_NOW = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
+def _now():
+    return F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
 
 
 def _snapshots(spark, sf):
@@ -98,17 +99,17 @@ _DEL_SQL = "CASE WHEN sid IS NULL THEN coalesce(td, TIMESTAMP '2024-06-01') END
 
 def merge_keep_first(spark: SparkSession, sf: str) -> DataFrame:
     t, s, d = _snapshots(spark, sf)
-    return merge.keep_first_load(t.withColumn("source_deleted_at", d), s, ["id"], _NOW)
+    return merge.keep_first_load(t.withColumn("source_deleted_at", d), s, ["id"], _now())
 
 
 def merge_refresh(spark: SparkSession, sf: str) -> DataFrame:
     t, s, d = _snapshots(spark, sf)
-    return merge.refresh(t.withColumn("source_deleted_at", d).withColumn("via", F.when(F.col("id") % 2 == 0, "tree_id")), s, ["id"], "raw", ["via"], _NOW)
+    return merge.refresh(t.withColumn("source_deleted_at", d).withColumn("via", F.when(F.col("id") % 2 == 0, "tree_id")), s, ["id"], "raw", ["via"], _now())
 
 
 def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     t, s, _ = _snapshots(spark, sf)
-    return merge.upsert(t.withColumn("loaded_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")), s, ["id"], "loaded_at", _NOW)
+    return merge.upsert(t.withColumn("loaded_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")), s, ["id"], "loaded_at", _now())
 
 
 def merge_metrics(spark: SparkSession, sf: str) -> DataFrame:
