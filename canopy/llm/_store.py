@@ -41,7 +41,7 @@ class Work:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Writes df, forgets its lineage and the shuffle files behind it, reads it again."""
         at = f"{self.path}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(at)
+        df.write.mode("overwrite").option("compression", "snappy").parquet(at)
         out = self.spark.read.schema(df.schema).parquet(at)
         del df
         gc.collect()

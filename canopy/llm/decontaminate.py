@@ -27,7 +27,8 @@ WINDOW = 8
 WINDOWS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ANY_CASE_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RARER = 4
 
 
 def lowered(text: Column) -> Column:
@@ -68,7 +69,9 @@ class PositionalIndex:
         # By phrase at most a window of rows; a phrase with an absent term can't occur.
         ranked = terms.join(self.hint(seen), "term").groupBy("phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off", "term"))).alias("by"))
         whole = phrases.join(ranked, "phrase").filter(F.size("by") == F.size("words"))
-        pick = lambda i: F.element_at("by", F.least(F.lit(i), F.size("by")))
+        # A second term RARER times as frequent as the first costs more to post than the first's matches to compare.
+        second = F.when((F.size("by") > 1) & (F.get("by", F.lit(1))["n"] <= RARER * F.get("by", F.lit(0))["n"]), F.lit(2)).otherwise(F.lit(1))
+        pick = lambda i: F.element_at("by", F.lit(1) if i == 1 else second)
         self.probes = work.save(
             whole.select("phrase", "words", pick(1)["term"].alias("t1"), pick(1)["off"].alias("o1"), pick(2)["term"].alias("t2"), pick(2)["off"].alias("o2")), "probes"
         )
@@ -109,7 +112,9 @@ def contamination(spark: SparkSession, docs: DataFrame, bench: DataFrame, size:
     items = hits.select("doc_id", "phrase").distinct().join(index.hint(index.items.select("phrase", "item_id")), "phrase").select("doc_id", "item_id").distinct()
     names = items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("item_id").cast("string"))), ","), 256).alias("items_sha256"))
     found = hit.join(names, "doc_id")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.split(F.coalesce("text", F.lit("")), ANY_CASE_GAP).alias("w"))
+    blank = lambda k: F.when(F.element_at("w", k) == "", 1).otherwise(0)
+    base = split.select("doc_id", F.greatest(F.size("w") - blank(1) - blank(-1), F.lit(0)).cast("long").alias("n_words"))
     n = F.coalesce("n_items", F.lit(0)).cast("long")
     return base.join(found, "doc_id", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), n.alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n >= 2).alias("contaminated")
