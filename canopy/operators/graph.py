@@ -100,104 +100,97 @@ def melt(df: DataFrame, subject: Column, kind: str, columns: dict[str, Column])
 
 # Constraints: each gives (focus, path, message) of what breaks it.
 
+SCHEME = DATA + "scheme/trees"
+CAVEATS = ["unresolvedLocation", "timeMismatch", "weakLink", "transplantOrigin"]
 
-def _violations(df: DataFrame, path: str, message: str) -> DataFrame:
-    return df.select(F.col("s").alias("focus"), F.lit(path).alias("path"), F.lit(message).alias("message"))
-
-
-def of_class(quads: DataFrame, kind: str) -> DataFrame:
-    return quads.filter((F.col("p") == TYPE) & (F.col("o") == n(kind))).select("s").distinct()
-
-
-def cardinality(quads: DataFrame, kind: str, path: str, least: int = 0, most: int | None = None) -> DataFrame:
-    counts = quads.filter(F.col("p") == path).groupBy("s").agg(F.count_distinct("o").alias("k"))
-    joined = of_class(quads, kind).join(counts, "s", "left").withColumn("k", F.coalesce("k", F.lit(0)))
-    broken = (F.col("k") < least) | (F.lit(False) if most is None else F.col("k") > most)
-    return _violations(joined.filter(broken), path, f"{kind} needs {least} to {'any' if most is None else most}")
-
-
-def each_value(quads: DataFrame, kind: str, path: str, fits: Column, message: str) -> DataFrame:
-    """Values o of a path that a condition doesn't hold for."""
-    own = quads.filter(F.col("p") == path).join(of_class(quads, kind), "s", "left_semi")
-    return _violations(own.filter(~F.coalesce(fits, F.lit(False))), path, message)
 
+def _subject_rules() -> list[tuple[str, str, int, int | None, Column | None, str]]:
+    """(class, path, least, most, what each value must be, message if it isn't)."""
+    o = F.col("o")
+    iri = lambda kind: safe_iri(o) & o.startswith(DATA + kind + "/")
+    date = F.try_to_date(o, "yyyy-MM-dd").isNotNull()
+    return [
+        ("Intervention", n("locatedAt"), 1, None, None, ""),
+        ("Intervention", AVAILABLE, 1, 1, date, "must be a date"),
+        ("AuditLink", n("coversIntervention"), 1, None, iri("intervention"), "must be an intervention"),
+        ("Felling", n("felledTree"), 1, None, iri("tree"), "must be a tree"),
+        ("Felling", n("felledOn"), 1, None, date, "must be a date"),
+        ("Observation", n("includesFelling"), 1, None, iri("felling"), "must be a felling"),
+        ("CoveragePeriod", OF, 1, None, None, ""),
+        ("CoveragePeriod", FROM, 1, None, None, ""),
+        ("CoveragePeriod", n("evidence"), 1, None, None, ""),
+        ("CoveragePeriod", n("confidence"), 0, None, o.try_cast("decimal(6,3)").between(0, 1), "must be within [0, 1]"),
+        ("CoveragePeriod", n("granularity"), 0, None, o.isin([n(g) for g in ("address", "postcode", "buurt")]), "unknown granularity"),
+    ]
 
-def value_class(quads: DataFrame, kind: str, path: str, target: str) -> DataFrame:
-    own = quads.filter(F.col("p") == path).join(of_class(quads, kind), "s", "left_semi")
-    return _violations(own.join(of_class(quads, target).select(F.col("s").alias("o")), "o", "left_anti"), path, f"values must be {target}")
 
+def _subjects(quads: DataFrame) -> DataFrame:
+    """By subject: its classes, whether it is in the scheme, and for each rule how many values there are and how many are wrong.
 
-def in_scheme(quads: DataFrame, path: str, scheme: str) -> DataFrame:
-    concepts = quads.filter((F.col("p") == "skos:inScheme") & (F.col("o") == scheme)).select(F.col("s").alias("o"))
-    return _violations(quads.filter(F.col("p") == path).join(concepts, "o", "left_anti"), path, "values must be concepts of the scheme")
+    One pass for all rules, summed up before the shuffle.
+    """
+    counts = []
+    for k, (_, path, _, _, fits, _) in enumerate(_subject_rules()):
+        counts.append(F.count_if(F.col("p") == path).alias(f"n{k}"))
+        counts.append((F.count_if((F.col("p") == path) & ~F.coalesce(fits, F.lit(False))) if fits is not None else F.lit(0)).alias(f"bad{k}"))
+    period = [F.count_if(F.col("p") == n(x)).alias(x) for x in ("linksObservation", "noSourceFound")]
+    true = F.count_if((F.col("p") == n("noSourceFound")) & (F.col("o") == "true")).alias("no_source_true")
+    return quads.select("s", "p", "o").distinct().groupBy("s").agg(
+        F.collect_set(F.when(F.col("p") == TYPE, F.col("o"))).alias("kinds"), F.max((F.col("p") == "skos:inScheme") & (F.col("o") == SCHEME)).alias("concept"), *counts, *period, true
+    )
 
 
-def edge_rules(quads: DataFrame, annotations: DataFrame, path: str, allowed: list[str]) -> DataFrame:
+def subject_violations(quads: DataFrame) -> DataFrame:
+    """Cardinalities, value rules, and a coverage period's two forms: with observation and confidence, or without source."""
+    found = []
+    told = lambda path, message: F.struct(F.lit(path).alias("path"), F.lit(message).alias("message"))
+    none = F.array().cast("array<struct<path:string,message:string>>")
+    confidence = None
+    for k, (kind, path, least, most, _, message) in enumerate(_subject_rules()):
+        own = F.array_contains("kinds", n(kind))
+        broken = (F.col(f"n{k}") < least) | (F.lit(False) if most is None else F.col(f"n{k}") > most)
+        found.append(F.when(own & broken, F.array(told(path, f"{kind} needs {least} to {'any' if most is None else most}"))).otherwise(none))
+        found.append(F.when(own, F.array_repeat(told(path, message), F.col(f"bad{k}").cast("int"))).otherwise(none))
+        confidence = F.col(f"n{k}") if path == n("confidence") else confidence
+    matched = (F.col("linksObservation") > 0) & (confidence > 0) & (F.col("noSourceFound") == 0)
+    without = (F.col("no_source_true") > 0) & (F.col("linksObservation") == 0) & (confidence == 0)
+    one_form = F.when(F.array_contains("kinds", n("CoveragePeriod")) & (matched == without), F.array(told(n("linksObservation"), "neither or both of matched and without source")))
+    each = F.explode(F.flatten(F.array(*found, F.coalesce(one_form, none))))
+    return _subjects(quads).select(F.col("s").alias("focus"), each.alias("v")).select("focus", "v.path", "v.message")
+
+
+def value_violations(quads: DataFrame) -> DataFrame:
+    """Values that must be of a class, or concepts of the scheme."""
+    of = {n("locatedAt"): ("Intervention", "Place"), OF: ("CoveragePeriod", "AuditLink"), n("linksObservation"): ("CoveragePeriod", "Observation")}
+    coded = [n(p) for p in ("activity", "species", "status")]
+    edges = quads.filter(F.col("p").isin([*of, *coded])).select("s", "p", "o").distinct()
+    kinds = quads.filter((F.col("p") == TYPE) | (F.col("p") == "skos:inScheme")).groupBy("s").agg(F.collect_set(F.when(F.col("p") == TYPE, F.col("o"))).alias("kinds"), F.max((F.col("p") == "skos:inScheme") & (F.col("o") == SCHEME)).alias("concept"))
+    subject = kinds.select("s", F.col("kinds").alias("own"))
+    value = kinds.select(F.col("s").alias("o"), F.col("kinds").alias("theirs"), "concept")
+    j = edges.join(value, "o", "left").join(subject, "s", "left")
+    message = F.when(F.col("p").isin(coded) & ~F.coalesce("concept", F.lit(False)), "values must be concepts of the scheme")
+    for path, (kind, target) in of.items():
+        wrong = (F.col("p") == path) & F.array_contains("own", n(kind)) & ~F.coalesce(F.array_contains("theirs", n(target)), F.lit(False))
+        message = message.when(wrong, f"values must be {target}")
+    return j.select(F.col("s").alias("focus"), F.col("p").alias("path"), message.alias("message")).filter("message IS NOT NULL")
+
+
+def edge_violations(quads: DataFrame, annotations: DataFrame, path: str, allowed: list[str]) -> DataFrame:
     """An annotated edge needs a confidence in [0, 1], a caveat where it is below 1, and only controlled caveats."""
     edges = quads.filter(F.col("p") == path).select("s", "o").distinct()
+    value = F.when(F.col("ap") == n("confidence"), F.col("av").try_cast("decimal(6,3)"))
+    caveat = F.col("ap") == n("caveat")
     notes = annotations.filter(F.col("p") == path).groupBy("s", "o").agg(
-        F.min(F.when(F.col("ap") == n("confidence"), F.col("av").try_cast("decimal(6,3)"))).alias("low"),
-        F.max(F.when(F.col("ap") == n("confidence"), F.col("av").try_cast("decimal(6,3)"))).alias("high"),
-        F.count_if(F.col("ap") == n("caveat")).alias("caveats"),
-        F.count_if((F.col("ap") == n("caveat")) & ~F.col("av").isin([n(a) for a in allowed])).alias("strange"),
-    )
-    j = edges.join(notes, ["s", "o"], "left")
-    parts = [
-        _violations(j.filter("low IS NULL"), path, "no confidence"),
-        _violations(j.filter("low < 0 OR high > 1"), path, "confidence out of range"),
-        _violations(j.filter("low < 1 AND caveats = 0"), path, "inexact without caveat"),
-        _violations(j.filter("strange > 0"), path, "unknown caveat"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def exactly_one_form(quads: DataFrame) -> DataFrame:
-    """A coverage period is either matched (observation and confidence) or without source, never both or neither."""
-    own = quads.join(of_class(quads, "CoveragePeriod"), "s", "left_semi").groupBy("s").agg(
-        F.count_if(F.col("p") == n("linksObservation")).alias("o"), F.count_if(F.col("p") == n("confidence")).alias("c"),
-        F.count_if(F.col("p") == n("noSourceFound")).alias("x"), F.count_if((F.col("p") == n("noSourceFound")) & (F.col("o") == "true")).alias("t"),
+        F.min(value).alias("low"), F.max(value).alias("high"), F.count_if(caveat).alias("caveats"), F.count_if(caveat & ~F.col("av").isin([n(a) for a in allowed])).alias("strange")
     )
-    matched, without = "(o > 0 AND c > 0 AND x = 0)", "(t > 0 AND o = 0 AND c = 0)"
-    return _violations(own.filter(f"NOT ({matched} <> {without})"), n("linksObservation"), "neither or both of matched and without source")
+    rules = [(F.col("low").isNull(), "no confidence"), ((F.col("low") < 0) | (F.col("high") > 1), "confidence out of range"), ((F.col("low") < 1) & (F.col("caveats") == 0), "inexact without caveat"), (F.col("strange") > 0, "unknown caveat")]
+    found = F.array_compact(F.array(*[F.when(c, F.lit(m)) for c, m in rules]))
+    return edges.join(notes, ["s", "o"], "left").select(F.col("s").alias("focus"), F.lit(path).alias("path"), F.explode(found).alias("message"))
 
 
-def shape_violations(quads: DataFrame, annotations: DataFrame, scheme: str = DATA + "scheme/trees") -> DataFrame:
+def shape_violations(quads: DataFrame, annotations: DataFrame) -> DataFrame:
     """Every constraint of the model at once."""
-    o = F.col("o")
-    iri = lambda kind: safe_iri(o) & o.startswith(DATA + kind + "/")
-    date = F.try_to_date(o, "yyyy-MM-dd").isNotNull()
-    number = o.try_cast("decimal(6,3)").between(0, 1)
-    parts = [
-        cardinality(quads, "Intervention", n("locatedAt"), 1),
-        value_class(quads, "Intervention", n("locatedAt"), "Place"),
-        cardinality(quads, "Intervention", AVAILABLE, 1, 1),
-        each_value(quads, "Intervention", AVAILABLE, date, "must be a date"),
-        edge_rules(quads, annotations, n("locatedAt"), ["unresolvedLocation", "timeMismatch", "weakLink", "transplantOrigin"]),
-        *[in_scheme(quads, n(p), scheme) for p in ("activity", "species", "status")],
-        cardinality(quads, "AuditLink", n("coversIntervention"), 1),
-        each_value(quads, "AuditLink", n("coversIntervention"), iri("intervention"), "must be an intervention"),
-        cardinality(quads, "Felling", n("felledTree"), 1),
-        each_value(quads, "Felling", n("felledTree"), iri("tree"), "must be a tree"),
-        cardinality(quads, "Felling", n("felledOn"), 1),
-        each_value(quads, "Felling", n("felledOn"), date, "must be a date"),
-        cardinality(quads, "Observation", n("includesFelling"), 1),
-        each_value(quads, "Observation", n("includesFelling"), iri("felling"), "must be a felling"),
-        cardinality(quads, "CoveragePeriod", OF, 1),
-        value_class(quads, "CoveragePeriod", OF, "AuditLink"),
-        cardinality(quads, "CoveragePeriod", FROM, 1),
-        cardinality(quads, "CoveragePeriod", n("evidence"), 1),
-        each_value(quads, "CoveragePeriod", n("confidence"), number, "must be within [0, 1]"),
-        each_value(quads, "CoveragePeriod", n("granularity"), o.isin([n(g) for g in ("address", "postcode", "buurt")]), "unknown granularity"),
-        value_class(quads, "CoveragePeriod", n("linksObservation"), "Observation"),
-        exactly_one_form(quads),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return subject_violations(quads).unionByName(value_violations(quads)).unionByName(edge_violations(quads, annotations, n("locatedAt"), CAVEATS))
 
 
 def require_none(violations: DataFrame, what: str) -> None:
