@@ -230,3 +230,37 @@ def upsert_run(spark, live: DataFrame, live_notes: DataFrame, staged: DataFrame,
     notes = live_notes.unionByName(close_annotations(live_notes, stamps)).unionByName(noted)
     require_none(open_violations(quads.filter(F.col("graph").startswith(RUNS))), "more or less than one open version")
     return quads, notes, states
+
+
+def drop_runs(quads: DataFrame) -> DataFrame:
+    """A reset: every run's graph and the record of runs go, the model stays."""
+    return quads.filter(~F.col("graph").startswith(RUNS) & (F.col("graph") != "run:_provenance"))
+
+
+def starts_of(staged: DataFrame, staged_notes: DataFrame, changed: DataFrame) -> DataFrame:
+    """(s, valid_from) of changed subjects, from their node or an annotated edge; a missing one fails."""
+    nodes = staged.filter(F.col("p") == FROM).select("s", F.col("o").alias("v"))
+    edges = staged_notes.filter(F.col("ap") == FROM).select("s", F.col("av").alias("v"))
+    found = changed.select("s").distinct().join(nodes.unionByName(edges).groupBy("s").agg(F.min("v").alias("valid_from")), "s", "left")
+    require_none(found.filter("valid_from IS NULL"), "no validFrom")
+    return found
+
+
+def match(quads: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
+    """Bindings of a basic graph pattern: ?names are variables, joined where they recur; others are constants."""
+    out = None
+    for pattern in patterns:
+        part, own = quads, {}
+        for column, term in zip(("s", "p", "o"), pattern, strict=True):
+            if not term.startswith("?"):
+                part = part.filter(F.col(column) == term)
+            elif term[1:] in own:
+                part = part.filter(F.col(column) == F.col(own[term[1:]]))
+            else:
+                own[term[1:]] = column
+        part = part.select(*[F.col(c).alias(v) for v, c in own.items()]).distinct()
+        shared = [v for v in own if out is not None and v in out.columns]
+        if out is not None and not shared:
+            raise ValueError(f"pattern shares no variable with those before it: {pattern}")
+        out = part if out is None else out.join(part, shared)
+    return out

@@ -115,3 +115,32 @@ def fallback(rows: DataFrame, master: DataFrame, first: str, second: str) -> Dat
     via = F.when(F.col("_a").isNotNull(), first).when(F.col("_b").isNotNull(), second).otherwise("unresolved")
     pick = lambda c: F.when(F.col("_a").isNotNull(), F.col(f"_{c}a")).otherwise(F.col(f"_{c}b"))
     return joined.select(*rows.columns, via.alias("via"), pick("x").alias("x"), pick("y").alias("y"))
+
+
+def placement(resolved: DataFrame, requests: DataFrame, areas: DataFrame) -> DataFrame:
+    """The area a resolved request is audited in, and whether that is in scope.
+
+    An address is placed by its own point, a postcode by the request's, an area
+    is itself; a postcode without a point that lies in an area stays unresolved.
+    """
+    own = requests.select("id", F.col("x").alias("rx"), F.col("y").alias("ry"))
+    at = lambda a, r: F.when(F.col("level") == "address", F.col(a)).when(F.col("level") == "postcode", F.col(r))
+    chosen = resolved.join(own, "id").withColumn("x", at("ax", "rx")).withColumn("y", at("ay", "ry"))
+    inside = areas_of(chosen.select("id", "x", "y"), areas).withColumnRenamed("area", "_inside")
+    codes = areas.select(F.col("area").alias("placed"), "code")
+    placed = chosen.join(inside, "id", "left").withColumn("placed", F.when(F.col("level") == "buurt", F.col("area")).otherwise(F.col("_inside")))
+    return placed.join(codes, "placed", "left").select("id", "level", "placed", "code", F.col("placed").isNull().alias("unresolved"), F.coalesce(F.col("code").startswith("N"), F.lit(False)).alias("in_scope"))
+
+
+def require_reference(tables: dict[str, DataFrame]) -> None:
+    """An empty reference table is a fault, not a miss."""
+    empty = [name for name, df in tables.items() if df.isEmpty()]
+    if empty:
+        raise ValueError(f"empty reference tables: {', '.join(empty)}")
+
+
+def nearest_of(hits: DataFrame, key: str, x: str, y: str) -> DataFrame:
+    """One hit per key: valid ones first, then the nearest to the request's own point, then the smallest identifier."""
+    d = F.sqrt((F.col("ax") - F.col(x)) ** 2 + (F.col("ay") - F.col(y)) ** 2)
+    best = hits.withColumn("dist", d).groupBy(key).agg(F.min(F.struct((~F.col("valid")).alias("v"), F.col("dist").isNull().alias("n"), "dist", "ident")).alias("b"))
+    return best.select(key, F.col("b.ident").alias("ident"), F.col("b.dist").alias("dist"), (~F.col("b.v")).alias("valid"))

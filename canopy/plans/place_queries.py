@@ -31,6 +31,11 @@ def area_of_point(spark: SparkSession, sf: str) -> DataFrame:
     return points.join(resolve.areas_of(points, a), "id", "left").join(a.select("area", "code", "parent"), "area", "left").select("id", "area", "code", "parent")
 
 
+def permit_placement(spark: SparkSession, sf: str) -> DataFrame:
+    requests, areas = b.place_requests(spark, sf), b.areas(spark, sf)
+    return resolve.placement(resolve.resolve(requests, *b.address_registry(spark, sf), areas), requests, areas)
+
+
 def similar_names(spark: SparkSession, sf: str) -> DataFrame:
     parts = b.table(spark, sf, "part").select(F.col("p_name").alias("wanted")).distinct()
     streets = b.table(spark, sf, "part").select(F.reverse("p_name").alias("r"), "p_name").select(F.concat("p_name", F.lit(" x")).alias("naam")).distinct()
@@ -148,7 +153,7 @@ def case_scope(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.scope(cases.select("zaaknummer", "decision", "area_code").unionByName(keyless)).groupBy("status").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (place_ladder, place_levels, area_of_point, similar_names, fallback_lookup, area_hierarchy, scoped_areas, centroids, nearest_vote, merge_keep_first, merge_refresh, merge_upsert, merge_metrics, merge_states, select_decisions, case_scope)}
+QUERIES = {f.__name__: f for f in (place_ladder, place_levels, area_of_point, permit_placement, similar_names, fallback_lookup, area_hierarchy, scoped_areas, centroids, nearest_vote, merge_keep_first, merge_refresh, merge_upsert, merge_metrics, merge_states, select_decisions, case_scope)}
 
 _LADDER_SQL = f"""{b.REGISTRY_SQL},
     found AS (SELECT n.*, s.naam FROM numbers n LEFT JOIN streets s ON n.street = s.ident),
@@ -166,6 +171,9 @@ _LADDER_SQL = f"""{b.REGISTRY_SQL},
       CASE WHEN level = 'address' THEN CASE WHEN valid THEN 'valid_at_date' ELSE 'any_time' END END AS time_match, CASE WHEN level = 'address' AND NOT valid THEN 'timeMismatch' WHEN level = 'buurt' THEN 'unresolvedLocation' ELSE '' END AS caveats FROM lad)"""
 
 ORACLE = {
+    "permit_placement": f"""WITH {_LADDER_SQL}, spot AS (SELECT l.id, l.level, l.area, CASE l.level WHEN 'address' THEN l.ax WHEN 'postcode' THEN r.x END AS x, CASE l.level WHEN 'address' THEN l.ay WHEN 'postcode' THEN r.y END AS y FROM ladder l JOIN requests r USING (id)),
+        ins AS (SELECT spot.id, min(a.area) AS inside FROM spot JOIN areas a ON spot.x > x0 AND spot.x < x0 + 540 AND spot.y > y0 AND spot.y < y0 + 490 GROUP BY 1),
+        pl AS (SELECT spot.id, level, CASE WHEN level = 'buurt' THEN spot.area ELSE inside END AS placed FROM spot LEFT JOIN ins USING (id)) SELECT pl.id, level, placed, code, placed IS NULL AS unresolved, coalesce(code LIKE 'N%', false) AS in_scope FROM pl LEFT JOIN areas a ON a.area = placed""",
     "place_ladder": f"WITH {_LADDER_SQL} SELECT * FROM ladder",
     "place_levels": f"WITH {_LADDER_SQL} SELECT coalesce(level, 'none') AS level, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 3) AS share, CASE coalesce(level, 'none') WHEN 'address' THEN 1 WHEN 'postcode' THEN 2 WHEN 'buurt' THEN 3 ELSE 4 END::INT AS rank FROM ladder GROUP BY 1",
     "area_of_point": f"WITH {b.REGISTRY_SQL}, pip AS (SELECT id, min(area) AS area FROM requests JOIN areas ON x > x0 AND x < x0 + 540 AND y > y0 AND y < y0 + 490 GROUP BY id) SELECT r.id, p.area, a.code, a.parent FROM requests r LEFT JOIN pip p USING (id) LEFT JOIN areas a USING (area)",

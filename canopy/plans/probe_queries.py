@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from canopy.functions import dates, text
-from canopy.operators import dedup
+from canopy.operators import dedup, mentions
 from canopy.plans.bindings import table
 
 
@@ -137,6 +137,37 @@ def naive_counts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", text.naive_count(t).alias("n"))
 
 
+_FORMS = [("of the", "c1"), ("The", "c2"), ("and", "c3"), ("que", "c4"), ("in the", "c1")]
+
+
+def phrase_matches(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return mentions.phrase_matches(d, spark.createDataFrame(_FORMS, "form string, concept string"), 2).groupBy("id", "concept").agg(F.count("*").alias("n"), F.min("pos").cast("int").alias("first"))
+
+
+def merged_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of one event type of a user less than a day apart."""
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    far = lambda w: (F.col("ts").cast("timestamp").cast("long") - F.lag(F.col("ts").cast("timestamp").cast("long")).over(w)) >= 86400
+    runs = mentions.merge_adjacent(e, "user_id", ["ts", "event_id"], "event_type", far)
+    return runs.groupBy("user_id", "run").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), F.max("event_type").alias("event_type"))
+
+
+def bound_activities(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    verb = F.col("event_type") == "click"
+    m = e.select("user_id", "ts", "event_id", F.when(verb, F.concat(F.lit("a"), F.col("event_id") % 5)).alias("activity"), F.when(~verb, F.col("event_type")).alias("noun"), F.when(F.col("event_id") % 3 == 0, (F.col("event_id") % 9).cast("int")).alias("number"), (F.col("event_id") % 2 == 0).alias("singular"))
+    return mentions.bind_left(m, "user_id", ["ts", "event_id"]).groupBy("activity", "noun").agg(F.count("*").alias("n"), F.sum("number").alias("total"))
+
+
+def clause_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """How many texts state how many different activities."""
+    t = F.concat(F.lit("kappen van "), (F.col("p_size") % 5).cast("string"), F.lit(" bomen"), F.when(F.col("p_partkey") % 2 == 0, " en herplanten van twee bomen").otherwise(""), F.when(F.col("p_partkey") % 3 == 0, ", rooien van 1 boom").otherwise(""), F.when(F.col("p_partkey") % 7 == 0, ", diverse bomen").otherwise(""))
+    acts = table(spark, sf, "part").select(text.activities(t).alias("acts"))
+    verbs = F.size(F.array_distinct(F.transform("acts", lambda a: a["verb"])))
+    return acts.groupBy(verbs.alias("verbs")).agg(F.count("*").alias("n"), F.sum(text.felling_total(F.col("acts"))).alias("felling"), F.count_if(text.conflated(F.col("acts"))).alias("conflated"), F.sum(F.size(F.filter("acts", lambda a: a["bucket"] == "countless"))).alias("countless"))
+
+
 def json_props(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     return e.groupBy("event_type").agg(F.count("k").alias("n"), F.sum("k").alias("total"), F.max("k").alias("most"))
@@ -186,10 +217,17 @@ def latest_versions(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     gate_counts, filtered_counts, rollup_shares, rollup_ordered, quantiles, agg_strings, value_frequency, populate_rates, quarter_volume, year_volume, date_offsets, date_concentration, share_of_total, distinct_on, stratified_sample,
-    gold_accuracy, ordered_union, last_wins, semi_anti_counts, title_kinds, title_addresses, naive_counts, json_props, html_text, string_tools, window_ends, backoff, incremental_harvest, latest_versions)}
+    gold_accuracy, ordered_union, last_wins, semi_anti_counts, title_kinds, title_addresses, naive_counts, json_props, html_text, phrase_matches, merged_mentions, bound_activities, clause_histogram, string_tools, window_ends, backoff, incremental_harvest, latest_versions)}
 
 _TITLE = "(['  Besluit ', 'ONTWERPBESLUIT ', 'aanvraag ', 'Verlenging ', 'Ingetrokken ', 'Mededeling besluit '][(p_partkey % 6 + 1)::INT] || p_name)"
 ORACLE = {
+    "phrase_matches": """WITH d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents), s AS (SELECT id, i, w[i] AS a, w[i] || ' ' || w[i + 1] AS b FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        m AS (SELECT id, i, CASE a WHEN 'the' THEN 'c2' WHEN 'and' THEN 'c3' WHEN 'que' THEN 'c4' END AS concept FROM s UNION ALL SELECT id, i, CASE WHEN b IN ('of the', 'in the') THEN 'c1' END FROM s) SELECT id, concept, count(*) AS n, (min(i) - 1)::INT AS first FROM m WHERE concept IS NOT NULL GROUP BY 1, 2""",
+    "merged_mentions": """WITH e AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type AND epoch(date_trunc('second', ts)) - epoch(date_trunc('second', lag(ts) OVER w)) < 86400 THEN 0 ELSE 1 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+        r AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM e) SELECT user_id, run::BIGINT AS run, count(*) AS n, min(event_id) AS first, max(event_type) AS event_type FROM r GROUP BY 1, 2""",
+    "bound_activities": """WITH m AS (SELECT *, last_value(CASE WHEN event_type = 'click' THEN 'a' || (event_id % 5) END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS activity FROM events)
+        SELECT activity, event_type AS noun, count(*) AS n, sum(coalesce(CASE WHEN event_id % 3 = 0 THEN event_id % 9 END, CASE WHEN event_id % 2 = 0 THEN 1 END))::BIGINT AS total FROM m WHERE event_type <> 'click' GROUP BY 1, 2""",
+    "clause_histogram": """WITH p AS (SELECT p_size % 5 AS k, p_partkey % 2 = 0 AS h, p_partkey % 3 = 0 AS r, p_partkey % 7 = 0 AS c FROM part) SELECT (1 + h::INT + r::INT)::INT AS verbs, count(*) AS n, sum(k + CASE WHEN r THEN 1 ELSE 0 END)::BIGINT AS felling, count(*) FILTER (h) AS conflated, sum(c::INT)::BIGINT AS countless FROM p GROUP BY 1""",
     "gate_counts": "SELECT srid::INT AS srid, count(*) AS n, count(DISTINCT source) AS sources FROM (SELECT 'nation' AS source, 28992 AS srid FROM nation UNION ALL SELECT 'region', 28992 FROM region UNION ALL SELECT 'supplier', 28992 FROM supplier UNION ALL SELECT 'part', 4326 FROM part) GROUP BY srid",
     "filtered_counts": "SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'P') AS open, count(*) FILTER (o_totalprice > 250000) AS large, count(DISTINCT o_custkey) AS customers FROM orders",
     "rollup_shares": "SELECT CASE WHEN grouping(c_mktsegment) = 1 THEN 'ALL' ELSE c_mktsegment END AS segment, CASE WHEN grouping(c_nationkey) = 1 THEN 'ALL' ELSE c_nationkey::VARCHAR END AS nation, count(*) AS n, count(*) FILTER (c_acctbal < 0) AS negative, round(100.0::DOUBLE * count(*) FILTER (c_acctbal < 0) / nullif(count(*), 0), 2) AS share FROM customer GROUP BY ROLLUP (c_mktsegment, c_nationkey)",

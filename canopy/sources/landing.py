@@ -122,3 +122,24 @@ def stage_rows(raw: DataFrame, casts: dict[str, F.Column], path: str) -> DataFra
 
 def safe_name(name: str) -> bool:
     return re.fullmatch(r"gmb-\d{4}-\d+", name) is not None
+
+
+def read_polygons(spark: SparkSession, path: str, fields: dict[str, str], srid: int = 28992) -> DataFrame:
+    """GeoJSON polygon features, one collection a line, as polygons of rings of points with their reference system."""
+    rows = read_envelopes(spark, path, "_none", fields)
+    rings = F.from_json(F.get_json_object("geometry", "$.coordinates"), "array<array<array<double>>>")
+    polygon = F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))))
+    return rows.select(*fields, F.when(F.get_json_object("geometry", "$.type") == "Polygon", polygon).alias("polygon"), F.lit(srid).alias("srid"))
+
+
+def stream_to_file(blocks, path: str) -> tuple[int, str]:
+    """A body too large to hold, block by block; the file appears whole or not at all."""
+    digest, size, part = hashlib.sha256(), 0, Path(f"{path}.part")
+    part.parent.mkdir(parents=True, exist_ok=True)
+    with part.open("wb") as f:
+        for block in blocks:
+            f.write(block)
+            digest.update(block)
+            size += len(block)
+    part.rename(path)
+    return size, digest.hexdigest()

@@ -152,3 +152,22 @@ def vocabulary(names: DataFrame, scheme: str) -> DataFrame:
     grouped = g.groupBy("g.genus").agg(F.min("g.dutch").alias("dutch"), F.array_sort(F.collect_set("name")).alias("notations"))
     return grouped.select(F.concat(F.lit(scheme + "/"), slug(F.col("genus"))).alias("concept"), F.coalesce("dutch", "genus").alias("label"), "notations", F.when(F.col("dutch").isNotNull(), F.col("genus")).alias("alt"))
 
+
+
+def commit_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> None:
+    """Several tables at once: all are written beside the old ones before any is swapped in."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/_next/{name}")
+    for name in tables:
+        old, new = fs_path(f"{root}/{name}"), fs_path(f"{root}/_next/{name}")
+        fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(old, True)
+        fs.rename(new, old)
+
+
+def reset_tables(spark: SparkSession, names: list[str], root: str) -> None:
+    """Drops target tables; staging and other tables stay."""
+    for name in names:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -87,3 +87,16 @@ def test_shapes(spark):
 def test_closure(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "c")], "child string, parent string")
     assert sorted((r.child, r.ancestor, r.depth) for r in g.closure(spark, edges).collect()) == [("a", "b", 1), ("a", "c", 2), ("b", "c", 1), ("x", "c", 1)]
+
+
+def test_patterns_starts_and_reset(spark):
+    quads = spark.createDataFrame([("m", "a", "knows", "b"), ("m", "b", "knows", "c"), ("m", "b", "age", "3"), ("run:load-1", "c", "knows", "c"), ("run:_provenance", "run:load-1", "x", "y")], Q)
+    assert sorted(map(tuple, g.match(quads, [("?x", "knows", "?y"), ("?y", "age", "?n")]).select("x", "y", "n").collect())) == [("a", "b", "3")]
+    assert [r.x for r in g.match(quads, [("?x", "knows", "?x")]).collect()] == ["c"]
+    assert {r.graph for r in g.drop_runs(quads).collect()} == {"m"}
+    staged = spark.createDataFrame([("s", "n1", g.FROM, "2024-01-01")], Q)
+    notes = spark.createDataFrame([("s", "e1", "p", "o", g.FROM, "2024-02-02")], A)
+    names = lambda *x: spark.createDataFrame([(v,) for v in x], "s string")
+    assert {r.s: r.valid_from for r in g.starts_of(staged, notes, names("n1", "e1")).collect()} == {"n1": "2024-01-01", "e1": "2024-02-02"}
+    with pytest.raises(ValueError, match="no validFrom"):
+        g.starts_of(staged, notes, names("z"))

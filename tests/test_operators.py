@@ -123,3 +123,24 @@ def test_fallback(spark):
     rows = spark.createDataFrame([(1, "t1", "t2"), (2, "", "t2"), (3, "no", "t2"), (4, None, "no"), (5, "", "")], "id int, a string, b string")
     master = spark.createDataFrame([("t1", 1.0, 1.0), ("t2", 2.0, 2.0), ("", 9.0, 9.0)], "tree string, x double, y double")
     assert sorted((r.id, r.via, r.x) for r in resolve.fallback(rows, master, "a", "b").collect()) == [(1, "a", 1.0), (2, "b", 2.0), (3, "b", 2.0), (4, "unresolved", None), (5, "unresolved", None)]
+
+
+def test_placement_and_reference(spark):
+    _, _, _, areas = registry(spark)
+    areas = areas.withColumn("code", F.when(F.col("area") == "buurt-noord", "N01").otherwise("A01"))
+    resolved = spark.createDataFrame([(1, "address", 121000.0, 487000.0, None), (2, "postcode", None, None, None), (3, "postcode", None, None, None), (4, "buurt", None, None, "tie-buurt-a"), (5, None, None, None, None)], "id int, level string, ax double, ay double, area string")
+    requests = spark.createDataFrame([(1, 1.0, 1.0), (2, 140000.0, 500000.0), (3, None, None), (4, 1.0, 1.0), (5, 121000.0, 487000.0)], "id int, x double, y double")
+    got = {r.id: (r.placed, r.unresolved, r.in_scope) for r in resolve.placement(resolved, requests, areas).collect()}
+    assert got == {1: ("buurt-noord", False, True), 2: ("tie-buurt-a", False, False), 3: (None, True, False), 4: ("tie-buurt-a", False, False), 5: (None, True, False)}
+    with pytest.raises(ValueError, match="empty"):
+        resolve.require_reference({"streets": requests.limit(0), "x": requests})
+
+
+def test_mentions_operators(spark):
+    from canopy.operators import mentions
+
+    texts = spark.createDataFrame([(1, "De Zomer eik, zomereik en ZOMER-EIK"), (2, ""), (3, None)], "id int, text string")
+    forms = spark.createDataFrame([("zomer eik", "c1"), ("Zomereik", "c1"), ("en", "c2")], "form string, concept string")
+    assert sorted(map(tuple, mentions.phrase_matches(texts, forms, 2).collect())) == [(1, 1, 2, "c1"), (1, 3, 1, "c1"), (1, 4, 1, "c2"), (1, 5, 2, "c1")]
+    rows = spark.createDataFrame([(1, 0, None, "boom", None, True), (1, 1, "kappen", None, None, False), (1, 2, None, "bomen", 3, False), (1, 3, None, "boom", None, True), (1, 4, None, "bomen", None, False)], "id int, at int, activity string, noun string, number int, singular boolean")
+    assert sorted((r["at"], r.activity, r.number) for r in mentions.bind_left(rows, "id", ["at"]).collect()) == [(0, None, 1), (2, "kappen", 3), (3, "kappen", 1), (4, "kappen", None)]

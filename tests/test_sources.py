@@ -180,3 +180,24 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     spark.createDataFrame([(2, "2", "B"), (1, "0", "late"), (3, "1", "c")], schema).write.mode("append").parquet(src)
     want = [(1, "a"), (2, "B"), (3, "c")]
     assert sorted((r.id, r.v) for r in call().collect()) == want and sorted((r.id, r.v) for r in call().collect()) == want
+
+
+def test_polygons_bodies_and_commits(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"features": [{"properties": {"code": "N1"}, "geometry": {"type": "Polygon", "coordinates": [[[0,0],[4,0],[4,4],[0,0]]]}}]}\n')
+    row = landing.read_polygons(spark, str(tmp_path / "a.json"), {"code": "string"}).first()
+    assert row.code == "N1" and row.srid == 28992 and row.polygon[0][1].x == 4.0 and len(row.polygon[0]) == 4
+    size, _ = landing.stream_to_file(iter([b"ab", b"c"]), str(tmp_path / "body"))
+    assert size == 3 and (tmp_path / "body").read_bytes() == b"abc" and not (tmp_path / "body.part").exists()
+    root = str(tmp_path / "db")
+    snapshots.commit_tables(spark, {"a": spark.range(2), "b": spark.range(3)}, root)
+    snapshots.commit_tables(spark, {"a": spark.read.parquet(f"{root}/a").unionByName(spark.range(5, 6))}, root)
+    assert (spark.read.parquet(f"{root}/a").count(), spark.read.parquet(f"{root}/b").count()) == (3, 3)
+    snapshots.reset_tables(spark, ["a"], root)
+    assert not (tmp_path / "db/a").exists() and (tmp_path / "db/b").exists()
+
+
+def test_registry_xml(spark, tmp_path):
+    rows = "".join(f"<o:Nummer><o:identificatie>{i}</o:identificatie><o:huisnummer>{k}</o:huisnummer></o:Nummer>" for k, i in enumerate(("NL.0363.1", "NL.0999.1", "0363200000")))
+    (tmp_path / "n.xml").write_text(f'<x xmlns:o="u">{rows}</x>')
+    got = landing.read_bag(spark, str(tmp_path / "n.xml"), "Nummer", "identificatie string, huisnummer int", "0363")
+    assert sorted((r.identificatie, r.huisnummer) for r in got.collect()) == [("0363200000", 2), ("NL.0363.1", 0)]
