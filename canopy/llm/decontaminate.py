@@ -123,8 +123,8 @@ def contamination(spark: SparkSession, docs: DataFrame, bench: DataFrame, size:
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of docs that hold no window of any item, as they are."""
-    hit = PositionalIndex(spark, docs, bench, size).phrases().select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    hit = PositionalIndex(spark, docs, bench, size).phrases().select(F.col("doc_id").alias("__hit_id")).distinct()
+    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("__hit_id")), "left_anti")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

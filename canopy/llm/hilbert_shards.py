@@ -137,8 +137,8 @@ def shard_by_hilbert(spark: SparkSession, docs: DataFrame, shards: int = 16) ->
 
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, shards: int = 16) -> None:
     """docs as one folder a shard, each shard's rows in curve order within its files."""
-    plan = shard_by_hilbert(spark, docs, shards).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    joined = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))).drop("_id")
+    plan = shard_by_hilbert(spark, docs, shards).select(F.col("doc_id").alias("__shard_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    joined = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("__shard_id"))).drop("__shard_id")
     joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot").write.mode("overwrite").partitionBy("_shard").parquet(path)
 
 

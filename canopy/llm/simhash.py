@@ -185,8 +185,8 @@ def simhash_components(spark: SparkSession, docs: DataFrame, radius: int = RADIU
 
 def keep_representatives(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of docs whose identifier is the smallest of their component, as they are."""
-    kept = simhash_components(spark, docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    kept = simhash_components(spark, docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept_id"))
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
