@@ -38,3 +38,9 @@ def ordered_union(buckets: list[DataFrame], key: str, order: str) -> DataFrame:
         part = b.select(key, order).withColumn("bucket", F.lit(k))
         whole = part if whole is None else whole.unionByName(part)
     return whole.groupBy(key).agg(F.min(F.struct("bucket", order)).alias("_at")).select(key, F.col("_at.bucket").alias("bucket"), F.col(f"_at.{order}").alias(order))
+
+
+def unique_interventions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Interventions by identifier, the earliest date winning, and how many rows had none."""
+    keyed = rows.filter("iri IS NOT NULL AND iri <> ''")
+    return keyed.groupBy("iri").agg(F.min("pub").alias("pub")), rows.agg(F.count_if(F.col("iri").isNull() | (F.col("iri") == "")).alias("skipped"))

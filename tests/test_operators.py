@@ -144,3 +144,9 @@ def test_mentions_operators(spark):
     assert sorted(map(tuple, mentions.phrase_matches(texts, forms, 2).collect())) == [(1, 1, 2, "c1"), (1, 3, 1, "c1"), (1, 4, 1, "c2"), (1, 5, 2, "c1")]
     rows = spark.createDataFrame([(1, 0, None, "boom", None, True), (1, 1, "kappen", None, None, False), (1, 2, None, "bomen", 3, False), (1, 3, None, "boom", None, True), (1, 4, None, "bomen", None, False)], "id int, at int, activity string, noun string, number int, singular boolean")
     assert sorted((r["at"], r.activity, r.number) for r in mentions.bind_left(rows, "id", ["at"]).collect()) == [(0, None, 1), (2, "kappen", 3), (3, "kappen", 1), (4, "kappen", None)]
+
+
+def test_unique_interventions(spark):
+    rows = spark.createDataFrame([("a", date(2022, 2, 1)), ("a", date(2022, 1, 1)), ("", date(2022, 1, 1)), (None, None)], "iri string, pub date")
+    unique, skipped = dedup.unique_interventions(rows)
+    assert [tuple(r) for r in unique.collect()] == [("a", date(2022, 1, 1))] and skipped.first().skipped == 2
