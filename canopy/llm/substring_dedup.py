@@ -5,8 +5,8 @@ with a smaller identifier. Which reference spans can matter for a window is
 settled by its anchor, the ANCHOR-word sequence with the smallest hash in it:
 equal windows have equal anchors. Consecutive windows with one anchor form a
 segment. Anchors held by one document only are left out; for the rest, the
-distinct segments of an anchor are brought together as a reference shard, a
-suffix automaton is built over its words, each state knowing the smallest
+distinct segments of an anchor, if there are several, are brought together as
+a reference shard, a suffix automaton is built over its words, each state knowing the smallest
 identifier that holds its substrings, and the segments are streamed through
 it for matching statistics cut at LENGTH. So a shard meets only segments that
 can match it, and the automata never hold the whole corpus, which grows with
@@ -39,6 +39,7 @@ LENGTH = 13
 ANCHOR = 6
 HOT = 4096
 SHARD_WORDS = 60_000
+WHOLE = -1  # in the place of a window: all windows of the segment
 
 
 class Automaton:
@@ -121,13 +122,15 @@ class Segments:
             self.anchor = self.seg = np.zeros(0, np.uint64)
             return
         at = np.arange(grams)
-        g = _text.span_hashes(h, at, at + anchor)
-        least, where = g[valid], valid.copy()
-        for j in range(1, window - anchor + 1):
-            other = g[valid + j]
-            better = other < least
-            least = np.where(better, other, least)
-            where = np.where(better, valid + j, where)
+        least, where = _text.span_hashes(h, at, at + anchor), at
+        span, most = 1, window - anchor + 1
+        while span < most:  # the smallest gram of spans that double, the first one of equals
+            step = min(span, most - span)
+            a, b = least[:-step], least[step:]
+            better = b < a
+            least, where = np.where(better, b, a), np.where(better, where[step:], where[:-step])
+            span += step
+        least, where = least[valid], where[valid]
         doc = of[valid]
         head = np.ones(len(valid), bool)
         head[1:] = (where[1:] != where[:-1]) | (doc[1:] != doc[:-1])
@@ -243,9 +246,9 @@ def _cutter(window: int, anchor: int, with_text: bool):
                     signed = s.seg.view(np.int64)
                     for k in np.flatnonzero(np.isin(signed, flat.field("seg").to_numpy())).tolist():
                         for j in marks.get((int(s.doc[k]), int(signed[k])), ()):
-                            a = int(s.start[k]) + j
+                            a = int(s.start[k]) + max(j, 0)
                             masks[s.doc[k]][a] += 1
-                            masks[s.doc[k]][a + window] -= 1
+                            masks[s.doc[k]][a + window + (int(s.windows[k]) - 1 if j == WHOLE else 0)] -= 1
                     gone = {int(d): np.cumsum(m)[:-1] > 0 for d, m in zip(has, masks, strict=True)}
                 n_words, n_gone, sha, kept = [], [], [], []
                 for k, text in enumerate(texts):
@@ -275,14 +278,16 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = LENGTH,
     shared = work.save(shared, "shared")
     held = work.save(occurs.join(shared, "anchor", "left_semi"), "held")
     segs = work.save(held.groupBy("anchor", "seg").agg(F.min("doc_id").alias("doc_id")), "segs")
-    crowded = work.save(segs.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("anchor", F.lit(True).alias("hot")), "crowded")
-    some_hot = not crowded.isEmpty()
-    marked = segs.join(crowded, "anchor", "left") if some_hot else segs.withColumn("hot", F.lit(False))
-    wanted = marked.groupBy("doc_id").agg(F.collect_list(F.struct("seg", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
+    counts = work.save(segs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("seg"), F.min("doc_id").alias("owner")), "counts")
+    # An anchor with one segment is answered by its smallest holder; the others need their words.
+    alone = counts.filter("n = 1").select("seg", F.lit(WHOLE).alias("at"), "owner")
+    some_hot = not counts.filter(F.col("n") > hot).isEmpty()
+    marked = segs.join(counts.filter("n > 1").select("anchor", (F.col("n") > hot).alias("hot")), "anchor")
+    wanted = marked.groupBy("doc_id").agg(F.collect_list(F.struct("seg", "hot")).alias("wanted"))
     fetched = work.save(docs.join(wanted, "doc_id").mapInArrow(_fetcher(window, anchor), "key long, seg long, place int, owner long, words binary"), "fetched")
     shards = fetched.filter("place < 0").repartition("key").sortWithinPartitions("key").select("key", "seg", "owner", "words")
     judged = shards.mapInArrow(_judge(window), "seg long, owners array<long>")
-    owned = judged.select("seg", F.posexplode("owners").alias("at", "owner"))
+    owned = alone.unionByName(judged.select("seg", F.posexplode("owners").alias("at", "owner")))
     if some_hot:
         single = fetched.filter("place >= 0")
         least = single.groupBy("key", "words").agg(F.min("owner").alias("least"))

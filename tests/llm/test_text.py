@@ -349,3 +349,16 @@ def test_pipeline(spark, docs, tmp_path):
     got = sorted((r.doc_id, r.length, r.ids_crc32) for r in out)
     ids = {k: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for k, t in left.items()}
     assert got == sorted((k, len(x), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in x))) for k, x in ids.items())
+
+
+def test_chunks_and_long_texts():
+    texts = ["a" * n for n in (0, 5, 3, 40, 1, 1, 1)] + [None, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    parts = list(_text.chunks(batch, "text", 10))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts and all(p.num_rows == 1 or sum(len(t or "") for t in p.column(0).to_pylist()) <= 10 for p in parts)
+    assert list(_text.chunks(batch.slice(0, 0))) == []
+    long = " ".join(f"w{k % 977}" for k in range(700_000))
+    buf, starts, ends, first = _text.words(pa.array(["x", long, "w5 tail"]))
+    hashes = _text.word_hashes(buf, starts, ends)
+    assert len(starts) == 700_003 and first.tolist() == [0, 1, 700_001, 700_003]
+    assert hashes[1 + 5] == hashes[1 + 5 + 977 * 700] == hashes[700_001] and len(set(hashes.tolist())) == 979
