@@ -17,14 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _areas(spark, sf):
-    """One row, broadcast: how many areas there are."""
-    return F.broadcast(table(spark, sf, "supplier").agg(F.count("*").alias("n")))
+    """How many areas there are, as a scalar subquery."""
+    return table(spark, sf, "supplier").agg(F.count("*").alias("n")).scalar()
 
 
 def permits(spark: SparkSession, sf: str) -> DataFrame:
     """zaak, pub, area, tier, x, y."""
-    o = table(spark, sf, "orders").filter("o_orderstatus = 'P'").crossJoin(_areas(spark, sf))  # one row on the right
-    o = o.withColumn("area", F.col("o_custkey") % F.col("n")).withColumn("tier", F.element_at(F.array(F.lit("address"), F.lit("postcode"), F.lit("buurt")), (F.col("o_orderkey") % 3 + 1).cast("int")))
+    o = table(spark, sf, "orders").filter("o_orderstatus = 'P'")
+    o = o.withColumn("area", F.col("o_custkey") % _areas(spark, sf)).withColumn("tier", F.element_at(F.array(F.lit("address"), F.lit("postcode"), F.lit("buurt")), (F.col("o_orderkey") % 3 + 1).cast("int")))
     has = F.col("tier") != "buurt"
     x = ((F.col("area") % 32) * 400 + (F.col("o_orderkey") * 37) % 400).cast("double")
     y = (F.floor(F.col("area") / 32) * 400 + (F.col("o_orderkey") * 91) % 400).cast("double")
@@ -34,8 +34,8 @@ def permits(spark: SparkSession, sf: str) -> DataFrame:
 def fellings(spark: SparkSession, sf: str) -> DataFrame:
     """felling, felled, area, x, y: line items by their four-column key."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    g = table(spark, sf, "lineitem").groupBy(*keys).agg(F.min("l_shipdate").alias("felled")).crossJoin(_areas(spark, sf))
-    g = g.withColumn("area", F.col("l_suppkey") % F.col("n"))
+    g = table(spark, sf, "lineitem").groupBy(*keys).agg(F.min("l_shipdate").alias("felled"))
+    g = g.withColumn("area", F.col("l_suppkey") % _areas(spark, sf))
     return g.select(
         F.concat_ws("-", *keys).alias("felling"),
         "felled",

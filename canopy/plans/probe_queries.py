@@ -200,9 +200,9 @@ def backoff(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_harvest(spark: SparkSession, sf: str) -> DataFrame:
     """A second harvest with overlap: what is new by id and content, and the next mark."""
     e = table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("date").alias("day"), F.concat_ws("|", "event_type", F.col("value").cast("decimal(12,2)").cast("string")).alias("content"))
-    mark = e.filter("id % 10 < 6").agg(F.max("day").alias("mark")).select(F.date_sub("mark", dates.OVERLAP_DAYS).alias("since"))
+    mark = e.filter("id % 10 < 6").agg(F.date_sub(F.max("day"), dates.OVERLAP_DAYS).alias("since")).scalar()
     known = e.filter("id % 10 < 6").withColumn("content_sha256", F.sha2(F.when(F.col("id") % 20 == 1, F.concat("content", F.lit("!"))).otherwise(F.col("content")), 256))
-    arrived = e.crossJoin(F.broadcast(mark)).filter("day >= since")  # one row on the right
+    arrived = e.filter(F.col("day") >= mark)
     fresh = dedup.unseen_content(arrived, known)
     return fresh.agg(F.count("*").alias("fresh"), F.max("day").alias("next_mark"), F.count_if(F.col("id") % 20 == 1).alias("changed"))
 
