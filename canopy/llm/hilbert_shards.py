@@ -105,7 +105,8 @@ def hilbert_order(spark: SparkSession, docs: DataFrame, bits: int = BITS) -> tup
     bounds = meta.agg(F.percentile_approx("size", marks, 1000).alias("size"), F.percentile_approx("doc_id", marks, 1000).alias("id")).first()
     hashed = lambda c, none: F.when(F.col(none), F.lit(0)).otherwise(F.pmod(F.shiftright(F.col(c), 7), F.lit(1 << bits)))
     axes = [hashed("_lead._meta.lang", "_lead._nolang"), hashed("_lead._meta.source", "_lead._nosource"), _cell("size", bounds["size"], bits), _cell("_lead.doc_id", bounds["id"], bits)]
-    curve = lead.withColumn("_curve", hilbert_index(axes, bits)).select(*same, "_curve")
+    # Written first, so that the join below is one of two plain shuffles, which adaptive execution splits where a text is hot.
+    curve = work.save(lead.withColumn("_curve", hilbert_index(axes, bits)).select(*same, "_curve"), "curve")
     placed = meta.select(*same, "doc_id").join(curve, same)
     key = ["_curve", "_text", "size", "text_crc32", "doc_id"]
     lined = work.save(placed.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("_at", F.monotonically_increasing_id()), "lined")
