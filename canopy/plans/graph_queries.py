@@ -11,44 +11,74 @@ from canopy.plans import bindings as b
 from canopy.plans.relations import plain, relation
 
 _D, _N = g.DATA, g.NS
-# Places are nations with an annotated activity edge; permits are customers with coverage periods.
-LIVE = f"""
-SELECT 'run:load-1' AS graph, '{_D}place/' || n_nationkey AS s, 'rdf:type' AS p, '{_N}Place' AS o FROM {{nation}}
-UNION ALL SELECT 'run:load-1', '{_D}place/' || n_nationkey, 'rdfs:label', n_name FROM {{nation}}
-UNION ALL SELECT 'run:load-1', '{_D}place/' || n_nationkey, '{_N}active', 'true' FROM {{nation}}
-UNION ALL SELECT 'run:load-2', '{_D}place/' || n_nationkey, '{_N}active', 'false' FROM {{nation}} WHERE n_nationkey % 5 = 0
-UNION ALL SELECT 'run:load-1', '{_D}auditlink/' || c_custkey, 'rdf:type', '{_N}AuditLink' FROM {{customer}} WHERE c_custkey < 300
-UNION ALL SELECT 'run:load-1', '{_D}auditlink/' || c_custkey, '{_N}coversIntervention', '{_D}intervention/' || c_custkey FROM {{customer}} WHERE c_custkey < 300 AND c_custkey % 40 <> 1
-UNION ALL SELECT 'run:load-' || v, '{_D}auditlink/' || c_custkey || '/k' || v, 'rdf:type', '{_N}CoveragePeriod' FROM {{customer}}, (SELECT 1 AS v UNION ALL SELECT 2) AS two WHERE c_custkey < 300 AND (v = 1 OR c_custkey % 3 = 0)
-UNION ALL SELECT 'run:load-' || v, '{_D}auditlink/' || c_custkey || '/k' || v, '{_N}versionOf', '{_D}auditlink/' || c_custkey FROM {{customer}}, (SELECT 1 AS v UNION ALL SELECT 2) AS two WHERE c_custkey < 300 AND (v = 1 OR c_custkey % 3 = 0)
-UNION ALL SELECT 'run:load-' || v, '{_D}auditlink/' || c_custkey || '/k' || v, '{_N}validFrom', '2024-0' || v || '-01' FROM {{customer}}, (SELECT 1 AS v UNION ALL SELECT 2) AS two WHERE c_custkey < 300 AND (v = 1 OR c_custkey % 3 = 0)
-UNION ALL SELECT 'run:load-' || v, '{_D}auditlink/' || c_custkey || '/k' || v, '{_N}evidence', 'seen ' || c_mktsegment FROM {{customer}}, (SELECT 1 AS v UNION ALL SELECT 2) AS two WHERE c_custkey < 300 AND (v = 1 OR c_custkey % 3 = 0) AND c_custkey % 60 <> 7
-UNION ALL SELECT 'run:load-1', '{_D}auditlink/' || c_custkey || '/k1', '{_N}noSourceFound', 'true' FROM {{customer}} WHERE c_custkey < 300 AND c_custkey % 2 = 0
-UNION ALL SELECT 'run:load-1', '{_D}auditlink/' || c_custkey || '/k1', '{_N}confidence', CASE WHEN c_custkey % 31 = 0 THEN '1.5' ELSE '0.70' END FROM {{customer}} WHERE c_custkey < 300 AND (c_custkey % 2 = 1 OR c_custkey % 50 = 0)
-UNION ALL SELECT 'run:load-1', '{_D}auditlink/' || c_custkey || '/k1', '{_N}validTo', '2024-02-01' FROM {{customer}} WHERE c_custkey < 300 AND c_custkey % 3 = 0 AND c_custkey % 50 <> 0"""
-NOTES = f"""
-SELECT 'run:load-1' AS graph, '{_D}place/' || n_nationkey AS s, '{_N}active' AS p, 'true' AS o, '{_N}validFrom' AS ap, '2024-01-01' AS av FROM {{nation}}
-UNION ALL SELECT 'run:load-1', '{_D}place/' || n_nationkey, '{_N}active', 'true', '{_N}validTo', '2024-02-01' FROM {{nation}} WHERE n_nationkey % 5 = 0
-UNION ALL SELECT 'run:load-2', '{_D}place/' || n_nationkey, '{_N}active', 'false', '{_N}validFrom', '2024-02-01' FROM {{nation}} WHERE n_nationkey % 5 = 0
-UNION ALL SELECT 'run:load-1', '{_D}place/' || n_nationkey, 'rdfs:label', n_name, '{_N}confidence', '0.9' FROM {{nation}} WHERE n_nationkey % 2 = 0"""
-STAGED = f"""
-SELECT 'stage' AS graph, '{_D}place/' || n_nationkey AS s, 'rdf:type' AS p, '{_N}Place' AS o FROM {{nation}}
-UNION ALL SELECT 'stage', '{_D}place/' || n_nationkey, 'rdfs:label', CASE WHEN n_nationkey % 4 = 0 THEN n_name || ' x' ELSE n_name END FROM {{nation}}
-UNION ALL SELECT 'stage', '{_D}place/' || n_nationkey, '{_N}active', 'true' FROM {{nation}} WHERE n_nationkey % 5 <> 0
-UNION ALL SELECT 'stage', '{_D}place/' || n_nationkey, '{_N}active', 'false' FROM {{nation}} WHERE n_nationkey % 5 = 0
-UNION ALL SELECT 'stage', '{_D}auditlink/' || c_custkey, 'rdf:type', '{_N}AuditLink' FROM {{customer}} WHERE c_custkey < 320
-UNION ALL SELECT 'stage', '{_D}auditlink/' || c_custkey, '{_N}coversIntervention', '{_D}intervention/' || (c_custkey + c_custkey % 90 // 89) FROM {{customer}} WHERE c_custkey < 320 AND c_custkey % 40 <> 1""".replace("(c_custkey + c_custkey % 90 // 89)", "(CASE WHEN c_custkey % 90 = 89 THEN c_custkey + 1 ELSE c_custkey END)")
-STAGED_NOTES = f"""
-SELECT 'stage' AS graph, '{_D}place/' || n_nationkey AS s, '{_N}active' AS p, CASE WHEN n_nationkey % 5 = 0 THEN 'false' ELSE 'true' END AS o, '{_N}validFrom' AS ap, '2024-03-01' AS av FROM {{nation}}
-UNION ALL SELECT 'stage', '{_D}place/' || n_nationkey, 'rdfs:label', CASE WHEN n_nationkey % 4 = 0 THEN n_name || ' x' ELSE n_name END, '{_N}confidence', '0.9' FROM {{nation}} WHERE n_nationkey % 2 = 0"""
+_PLACE, _LINK = f"'{_D}place/' || n_nationkey", f"'{_D}auditlink/' || c_custkey"
+
+
+def _q(text: str) -> str:
+    return f"'{text}'"
+
+
+def _live_rows() -> list[tuple]:
+    """(table, condition, graph, s, p, o): nations as places, customers as audit links with one or two periods."""
+    few = "c_custkey < 300"
+    out = [
+        ("nation", "true", _q("run:load-1"), _PLACE, _q("rdf:type"), _q(_N + "Place")), ("nation", "true", _q("run:load-1"), _PLACE, _q("rdfs:label"), "n_name"),
+        ("nation", "true", _q("run:load-1"), _PLACE, _q(_N + "active"), _q("true")), ("nation", "n_nationkey % 5 = 0", _q("run:load-2"), _PLACE, _q(_N + "active"), _q("false")),
+        ("customer", few, _q("run:load-1"), _LINK, _q("rdf:type"), _q(_N + "AuditLink")), ("customer", f"{few} AND c_custkey % 40 <> 1", _q("run:load-1"), _LINK, _q(_N + "coversIntervention"), f"'{_D}intervention/' || c_custkey"),
+    ]
+    for v in (1, 2):
+        own = few if v == 1 else f"{few} AND c_custkey % 3 = 0"
+        graph, node = _q(f"run:load-{v}"), f"{_LINK} || '/k{v}'"
+        out += [
+            ("customer", own, graph, node, _q("rdf:type"), _q(_N + "CoveragePeriod")), ("customer", own, graph, node, _q(g.OF), _LINK), ("customer", own, graph, node, _q(g.FROM), _q(f"2024-0{v}-01")),
+            ("customer", f"{own} AND c_custkey % 60 <> 7", graph, node, _q(_N + "evidence"), "'seen ' || c_mktsegment"),
+        ]
+    first = f"{_LINK} || '/k1'"
+    return out + [
+        ("customer", f"{few} AND c_custkey % 2 = 0", _q("run:load-1"), first, _q(_N + "noSourceFound"), _q("true")),
+        ("customer", f"{few} AND (c_custkey % 2 = 1 OR c_custkey % 50 = 0)", _q("run:load-1"), first, _q(_N + "confidence"), "CASE WHEN c_custkey % 31 = 0 THEN '1.5' ELSE '0.70' END"),
+        ("customer", f"{few} AND c_custkey % 3 = 0 AND c_custkey % 50 <> 0", _q("run:load-1"), first, _q(g.TO), _q("2024-02-01")),
+    ]
+
+
+_NAME = "CASE WHEN n_nationkey % 4 = 0 THEN n_name || ' x' ELSE n_name END"
+_ACTIVE = "CASE WHEN n_nationkey % 5 = 0 THEN 'false' ELSE 'true' END"
+LIVE = _live_rows()
+NOTES = [
+    ("nation", "true", _q("run:load-1"), _PLACE, _q(_N + "active"), _q("true"), _q(g.FROM), _q("2024-01-01")), ("nation", "n_nationkey % 5 = 0", _q("run:load-1"), _PLACE, _q(_N + "active"), _q("true"), _q(g.TO), _q("2024-02-01")),
+    ("nation", "n_nationkey % 5 = 0", _q("run:load-2"), _PLACE, _q(_N + "active"), _q("false"), _q(g.FROM), _q("2024-02-01")), ("nation", "n_nationkey % 2 = 0", _q("run:load-1"), _PLACE, _q("rdfs:label"), "n_name", _q(_N + "confidence"), _q("0.9")),
+]
+STAGED = [
+    ("nation", "true", _q("stage"), _PLACE, _q("rdf:type"), _q(_N + "Place")), ("nation", "true", _q("stage"), _PLACE, _q("rdfs:label"), _NAME), ("nation", "true", _q("stage"), _PLACE, _q(_N + "active"), _ACTIVE),
+    ("customer", "c_custkey < 320", _q("stage"), _LINK, _q("rdf:type"), _q(_N + "AuditLink")),
+    ("customer", "c_custkey < 320 AND c_custkey % 40 <> 1", _q("stage"), _LINK, _q(_N + "coversIntervention"), f"'{_D}intervention/' || (CASE WHEN c_custkey % 90 = 89 THEN c_custkey + 1 ELSE c_custkey END)"),
+]
+STAGED_NOTES = [
+    ("nation", "true", _q("stage"), _PLACE, _q(_N + "active"), _ACTIVE, _q(g.FROM), _q("2024-03-01")), ("nation", "n_nationkey % 2 = 0", _q("stage"), _PLACE, _q("rdfs:label"), _NAME, _q(_N + "confidence"), _q("0.9")),
+]
+_COLUMNS = ["graph", "s", "p", "o", "ap", "av"]
+
+
+def _as_sql(rows: list[tuple]) -> str:
+    return " UNION ALL ".join(f"SELECT {', '.join(f'{x} AS {c}' for x, c in zip(r[2:], _COLUMNS))} FROM {r[0]} WHERE {r[1]}" for r in rows)
+
+
+def _as_frame(spark: SparkSession, sf: str, rows: list[tuple]) -> DataFrame:
+    """The same rows with one scan of each table."""
+    out = None
+    for name in dict.fromkeys(r[0] for r in rows):
+        each = [f"CASE WHEN {r[1]} THEN named_struct({', '.join(f'{_q(c)}, {x}' for x, c in zip(r[2:], _COLUMNS))}) END" for r in rows if r[0] == name]
+        part = b.table(spark, sf, name).select(F.explode(F.array_compact(F.array(*map(F.expr, each)))).alias("r")).select("r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _live(spark, sf):
-    return relation(spark, sf, LIVE), relation(spark, sf, NOTES)
+    return _as_frame(spark, sf, LIVE), _as_frame(spark, sf, NOTES)
 
 
 def _staged(spark, sf):
-    return relation(spark, sf, STAGED), relation(spark, sf, STAGED_NOTES)
+    return _as_frame(spark, sf, STAGED), _as_frame(spark, sf, STAGED_NOTES)
 
 
 def graph_signatures(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,7 +173,7 @@ def cross_graph(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (graph_signatures, graph_classify, graph_delta, graph_close_annotations, graph_close_series, graph_open_violations, shape_violations, within_closure, edge_annotations, named_graphs, place_projection, felling_projection, permit_projection, unsafe_iris, cross_graph)}
 
-_Q = f"q AS ({plain(LIVE)}), a AS ({plain(NOTES)}), sq AS ({plain(STAGED)}), sa AS ({plain(STAGED_NOTES)})"
+_Q = f"q AS ({_as_sql(LIVE)}), a AS ({_as_sql(NOTES)}), sq AS ({_as_sql(STAGED)}), sa AS ({_as_sql(STAGED_NOTES)})"
 
 
 def _sig(q: str, a: str, name: str) -> str:
