@@ -100,3 +100,23 @@ def test_patterns_starts_and_reset(spark):
     assert {r.s: r.valid_from for r in g.starts_of(staged, notes, names("n1", "e1")).collect()} == {"n1": "2024-01-01", "e1": "2024-02-02"}
     with pytest.raises(ValueError, match="no validFrom"):
         g.starts_of(staged, notes, names("z"))
+
+
+def test_version_stream(spark, tmp_path):
+    from datetime import datetime
+
+    from canopy.streaming import versions
+
+    folder, store, check = (str(tmp_path / x) for x in ("in", "store", "check"))
+
+    def stage(rows, at):
+        spark.createDataFrame([(*r, None, None, at) for r in rows], versions.STAGED).coalesce(1).write.mode("append").parquet(folder)
+
+    stage(period("Z", "k1", "2024-01-01"), datetime(2024, 1, 1))
+    quads, _ = versions.version_stream(spark, folder, store, check)
+    assert {r.graph for r in quads.collect()} == {"run:load-20240101T000000Z", "run:_provenance"}
+    stage(period("Z", "k2", "2024-02-01"), datetime(2024, 2, 1))
+    quads, _ = versions.version_stream(spark, folder, store, check)
+    again, _ = versions.version_stream(spark, folder, store, check)
+    rows = {tuple(r) for r in quads.collect()}
+    assert ("run:load-20240101T000000Z", f"{D}auditlink/Z/k1", g.TO, "2024-02-01") in rows and rows == {tuple(r) for r in again.collect()}
