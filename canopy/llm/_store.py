@@ -48,8 +48,20 @@ class Work:
         self.spark.sparkContext._jvm.System.gc()
         return out
 
-    def drop(self, name: str) -> None:
-        _delete(self.spark, f"{self.path}/{name}")
+    def drop(self, *names: str) -> None:
+        """Deletes tables that nothing reads any more."""
+        for name in names:
+            _delete(self.spark, f"{self.path}/{name}")
+
+
+def opened() -> int:
+    return len(_OPEN)
+
+
+def release(mark: int) -> None:
+    """Deletes what was opened after a mark, once its results are written elsewhere."""
+    while len(_OPEN) > mark:
+        _delete(*_OPEN.pop())
 
 
 def _delete(spark: SparkSession, path: str) -> None:

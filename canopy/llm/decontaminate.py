@@ -107,6 +107,7 @@ def contamination(spark: SparkSession, docs: DataFrame, bench: DataFrame, size:
     """A row per row of docs(doc_id, text) against bench(item_id, text)."""
     index = PositionalIndex(spark, docs, bench, size)
     hits = index.work.save(index.phrases(), "hits")
+    index.work.drop("phrases", "frequency", "probes", "postings")
     words = hits.select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("pos")).distinct()
     hit = words.groupBy("doc_id").agg(F.count("*").alias("n_hit"))
     items = hits.select("doc_id", "phrase").distinct().join(index.hint(index.items.select("phrase", "item_id")), "phrase").select("doc_id", "item_id").distinct()

@@ -297,6 +297,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = LENGTH,
     at = F.transform(F.filter("owners", lambda x: x["owner"] < F.col("doc_id")), lambda x: x["at"])
     hits = held.select("doc_id", "seg").distinct().join(by_seg, "seg").select("doc_id", "seg", at.alias("at")).filter(F.size("at") > 0)
     by_doc = work.save(hits.groupBy("doc_id").agg(F.collect_list(F.struct("seg", "at")).alias("hits")), "hits")
+    work.drop("shared", "held", "segs", "counts", "fetched", "owners")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return docs.join(by_doc, "doc_id", "left").mapInArrow(_cutter(window, anchor, with_text), schema)
 

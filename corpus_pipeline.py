@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from canopy.llm._store import Work, table
+from canopy.llm._store import Work, opened, release, table
 from canopy.llm.decontaminate import keep_uncontaminated
 from canopy.llm.exact_dedup import keep_first
 from canopy.llm.pack import pack
@@ -55,6 +55,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, docs = Work(spark, "pipeline"), table(spark, sf_dir, "documents")
+    previous = None
     for name, stage in STAGES:
+        mark = opened()
         docs = work.save(stage(spark, docs, sf_dir), name)
+        release(mark)
+        if previous:
+            work.drop(previous)
+        previous = name
     return docs
