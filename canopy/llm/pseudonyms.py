@@ -29,7 +29,7 @@ KEY = "canopy"  # for tests and the query; a deployment passes its own secret
 DAY_ZERO, CYCLE = "1800-01-01", (627, 233)  # 627 * 233 days are 400 years
 
 # Fixed formats.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4})(?![./-]?[0-9])"
@@ -219,8 +219,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFra
     )
     marked = found.withColumn("_found", F.transform("_found", lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind"))))
     moved = marked.withColumn("_new", F.transform("_found", lambda x: pseudonym(x["value"], x["kind"], key, back)))
-    pieces = F.split("_text", ANY, -1)
-    joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get("_new", i), F.lit("")))), "")
+    # Zipped, not looked up by place: inside a lambda the pseudonyms would be made again for each piece.
+    pairs = F.arrays_zip(F.split("_text", ANY, -1).alias("piece"), F.col("_new").alias("new"))
+    joined = F.array_join(F.transform(pairs, lambda x: F.concat(x["piece"], F.coalesce(x["new"], F.lit("")))), "")
     valid = F.filter(F.coalesce(F.col("_found"), F.array()), lambda x: x["kind"].isNotNull())
 
     def count(kind: str) -> Column:

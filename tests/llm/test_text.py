@@ -266,6 +266,12 @@ def test_pseudonyms(spark, docs):
     assert pseudonyms.pseudonymise(docs([])).collect() == []
 
 
+def test_pseudonyms_of_endless_runs(spark, docs):
+    texts = ["x@" + "a." * 50_000, "1" * 100_000, "+1 " * 30_000, "(" * 50_000, "1-" * 50_000, "ab@cd.ef, " * 500, "GB82 " * 20_000]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(docs(texts)).collect()}
+    assert [len(got[k].text) for k in range(len(texts))] == [len(t) for t in texts] and got[5].n_email == 500
+
+
 def test_feistel_is_a_permutation(spark):
     moved = spark.range(1000).select("id", pseudonyms.permute(F.lpad(F.col("id").cast("string"), 3, "0"), "k", "t").alias("a"), pseudonyms.permute_number(F.col("id"), (40, 25), "k", "t").alias("b"))
     got = moved.collect()
