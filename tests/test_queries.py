@@ -21,7 +21,7 @@ def duck():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     got = QUERIES[name](spark, SF).toArrow()
-    want = duck.execute(ORACLE[name]).to_arrow_table()
+    want = duck.sql(ORACLE[name]).to_arrow_table()
     names = sorted(got.column_names)
     assert names == sorted(want.column_names)
     rows = lambda t: sorted(str(tuple(r[k] for k in names)) for r in t.to_pylist())
