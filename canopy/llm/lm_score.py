@@ -1,17 +1,25 @@
 """LM scoring by cross-entropy difference.
 
 A target model learns from the trusted documents (quality 1, not toxic) and a
-background model from all documents; both are byte n-gram models of ORDER over
-one vocabulary: the SYMBOLS - 2 most frequent bytes of the corpus, one symbol
-for all other bytes and one for the start of a text. Each task counts n-grams
-in an array before anything is shuffled, and the counts of all tasks are
-summed, so the models cover every document. With SYMBOLS ** ORDER possible
-n-grams they are bounded whatever the corpus, and are broadcast as two arrays.
-Probabilities are interpolated down to uniform by Witten and Bell's rule.
+background model from all documents; both are n-gram models of ORDER over all
+256 bytes and one symbol for the start of a text. N-grams are counted within
+each chunk before they are shuffled, and summed into a distributed table that
+has a row for each n-gram of the corpus and grows with it. Probabilities are
+interpolated down to uniform by Witten and Bell's rule, by joins and
+aggregates over that table.
+
+Every n-gram of a document is in the table. The most frequent ones, HEAD at
+most, are broadcast and found where the documents lie; the others are sent to
+their shards of the table, and their sums come back by row. Log probabilities
+are whole multiples of 1 / SCALE, so sums are the same in any order and
+wherever an n-gram is found.
 
 A document's score is the mean over its bytes of target loss minus background
 loss, in nats: the lower, the more it is like the target.
 
+Callers may ask for fewer symbols: then the most frequent bytes keep their own
+and all others share one.
+
 Defined cases: null and empty texts have no losses and a null score; without
 any target document both models are the background's and scores are zero;
 conflicting labels leave a document out of the target; an empty table gives no
@@ -31,7 +39,9 @@ from canopy.llm import _text
 from canopy.llm._store import Work, table
 
 ORDER = 4
-SYMBOLS = 40
+SYMBOLS = 258  # a text's start, 256 bytes, and one for other bytes where there are fewer
+HEAD = 1 << 20
+SCALE = 1 << 24
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,71 +68,103 @@ def codes(texts: pa.Array, symbol: np.ndarray, order: int, symbols: int) -> tupl
 
 def _counter(symbol: np.ndarray, order: int, symbols: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, symbols**order), np.int64)
         for whole in batches:
             for batch in _text.chunks(whole):
                 code, offsets = codes(batch.column("text"), symbol, order, symbols)
                 target = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
-                for own, part in ((0, code), (1, code[target])):
-                    seen, n = np.unique(part, return_counts=True)
-                    counts[own, seen] += n
-        seen = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[0, seen]), pa.array(counts[1, seen])], names=["code", "n_all", "n_target"])
+                seen, n = np.unique(code << 1 | target, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(seen >> 1), pa.array(n, pa.int64()), pa.array(n * (seen & 1), pa.int64())], names=["code", "n_all", "n_target"])
 
     return run
 
 
-def log_probabilities(counts: np.ndarray, order: int, symbols: int) -> np.ndarray:
-    """log p(last symbol | the ones before) by code, with Witten-Bell interpolation."""
-    p = np.full((1, symbols), 1.0 / symbols)
+def log_probabilities(work: Work, counts: DataFrame, order: int, symbols: int) -> DataFrame:
+    """(code, n_all, target, background): log p(last symbol | the ones before) times SCALE, with Witten-Bell interpolation."""
+    level = {order: counts}
+    for k in range(order - 1, 0, -1):
+        level[k] = work.save(level[k + 1].groupBy((F.col("code") % symbols**k).alias("code")).agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")), f"count{k}")
+    below = None
     for k in range(1, order + 1):
-        c = counts.reshape(symbols ** (order - k), -1).sum(0).reshape(-1, symbols).astype(np.float64)
-        total, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-        lower = np.tile(p, (len(c) // len(p), 1))
-        with np.errstate(all="ignore"):
-            p = np.where(total > 0, (c + kinds * lower) / (total + kinds), lower)
-    return np.log(p).reshape(-1).astype(np.float32)
+        own = level[k].withColumn("context", F.expr(f"code div {symbols}")).withColumn("low", F.col("code") % symbols ** (k - 1))
+        sums = [x for c in ("all", "target") for x in (F.sum(f"n_{c}").alias(f"total_{c}"), F.count_if(F.col(f"n_{c}") > 0).alias(f"kinds_{c}"))]
+        joined = own.join(own.groupBy("context").agg(*sums), "context")
+        if below is None:
+            joined = joined.withColumns({f"low_{c}": F.lit(1.0 / symbols) for c in ("all", "target")})
+        else:
+            joined = joined.join(below.select(F.col("code").alias("low"), F.col("p_all").alias("low_all"), F.col("p_target").alias("low_target")), "low")
+        p = [F.when(F.col(f"total_{c}") > 0, (F.col(f"n_{c}") + F.col(f"kinds_{c}") * F.col(f"low_{c}")) / (F.col(f"total_{c}") + F.col(f"kinds_{c}"))).otherwise(F.col(f"low_{c}")).alias(f"p_{c}") for c in ("all", "target")]
+        below = work.save(joined.select("code", "n_all", *p), f"p{k}")
+        work.drop(f"p{k - 1}", f"count{k}")
+    fixed = lambda c: F.round(F.log(c) * SCALE).cast("long")
+    return below.select("code", "n_all", fixed("p_target").alias("target"), fixed("p_all").alias("background"))
+
+
+def _head(model: DataFrame, most: int) -> int:
+    """The least count for which at most so many n-grams occur as often; counts are told apart by 64 bit lengths and 64 steps within each."""
+    step = F.floor(F.log2("n_all") * 64)
+    bins = model.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("n_all").alias("least")).collect()  # at most 64 * 64 rows
+    least, held = (1 << 63) - 1, 0
+    for r in sorted(bins, key=lambda r: -r["step"]):
+        held += r["n"]
+        if held > most:
+            break
+        least = r["least"]
+    return least
 
 
 def _scorer(shared, symbol: np.ndarray, order: int, symbols: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background = shared.value
+        keys, *models = shared.value
         for whole in batches:
             for batch in _text.chunks(whole):
                 code, offsets = codes(batch.column("text"), symbol, order, symbols)
-                n = np.diff(offsets)
+                at = np.minimum(np.searchsorted(keys, code), max(len(keys) - 1, 0))
+                found = keys[at] == code if len(keys) else np.zeros(len(code), bool)
                 cols = []
-                for model in (target, background):
-                    total = np.concatenate(([0.0], np.cumsum(model[code], dtype=np.float64)))
-                    with np.errstate(all="ignore"):
-                        cols.append((total[offsets[:-1]] - total[offsets[1:]]) / n)
-                out = [pa.array(x, mask=n == 0) for x in (*cols, cols[0] - cols[1])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), *out], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+                for model in models:
+                    own = np.where(found, model[at], 0) if len(keys) else np.zeros(len(code), np.int64)
+                    total = np.concatenate(([0], np.cumsum(own)))
+                    cols.append(pa.array(total[offsets[1:]] - total[offsets[:-1]]))
+                missed = np.concatenate(([0], np.cumsum(~found)))[offsets]
+                tail = pa.ListArray.from_arrays(pa.array(missed, pa.int32()), pa.array(code[~found]))
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), *cols, tail], names=["row", "doc_id", "n_tokens", "target", "background", "tail"])
 
     return run
 
 
-def cross_entropy_difference(spark: SparkSession, docs: DataFrame, labels: DataFrame, order: int = ORDER, symbols: int = SYMBOLS) -> DataFrame:
+def cross_entropy_difference(spark: SparkSession, docs: DataFrame, labels: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, head: int = HEAD) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score for each row of docs(doc_id, text)."""
     work = Work(spark, "lm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    frequent = docs.select("text").mapInArrow(_frequencies, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n"))
-    frequent = sorted(frequent.collect(), key=lambda r: (-r["n"], r["byte"]))  # at most 256 rows
-    symbol = np.full(256, symbols - 1, np.int64)
-    for k, r in enumerate(frequent[: symbols - 2]):
-        symbol[r["byte"]] = k + 1
+    symbol = np.arange(1, 257)
+    if symbols < SYMBOLS:
+        frequent = docs.select("text").mapInArrow(_frequencies, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n"))
+        frequent = sorted(frequent.collect(), key=lambda r: (-r["n"], r["byte"]))  # at most 256 rows
+        symbol = np.full(256, symbols - 1, np.int64)
+        for k, r in enumerate(frequent[: symbols - 2]):
+            symbol[r["byte"]] = k + 1
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("target"))
     # Labels grow with the documents: the join is dealt by key at every size, never broadcast.
     marked = docs.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = marked.mapInArrow(_counter(symbol, order, symbols), "code int, n_all long, n_target long")
-    got = work.save(counted.groupBy("code").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")), "counts").toArrow()  # at most symbols ** order rows
-    counts = np.zeros((2, symbols**order), np.int64)
-    if got.num_rows:
-        counts[:, got.column("code").to_numpy()] = got.column("n_target").to_numpy(), got.column("n_all").to_numpy()
-    if not counts[0].any():
-        counts[0] = counts[1]
-    shared = spark.sparkContext.broadcast(tuple(log_probabilities(c, order, symbols) for c in counts))
-    return docs.mapInArrow(_scorer(shared, symbol, order, symbols), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    counted = marked.mapInArrow(_counter(symbol, order, symbols), "code long, n_all long, n_target long")
+    counts = work.save(counted.groupBy("code").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")), f"count{order}")
+    if not counts.agg(F.sum("n_target")).first()[0]:
+        counts = counts.withColumn("n_target", F.col("n_all"))
+    model = work.save(log_probabilities(work, counts, order, symbols), "model")
+    work.drop(f"p{order}")
+    least = _head(model, head)
+    got = model.filter(F.col("n_all") >= least).select("code", "target", "background").toArrow().sort_by("code")  # at most head rows
+    shared = spark.sparkContext.broadcast(tuple(got.column(c).to_numpy() for c in ("code", "target", "background")))
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    scored = work.save(numbered.mapInArrow(_scorer(shared, symbol, order, symbols), "row long, doc_id long, n_tokens long, target long, background long, tail array<long>"), "scored")
+    rest = model.filter(F.col("n_all") < least)
+    if not rest.isEmpty():
+        # The table grows with the corpus: dealt by n-gram, each of which is rarer than any broadcast.
+        sought = scored.select("row", F.explode("tail").alias("code")).join(rest.hint("shuffle_hash"), "code")
+        sums = sought.groupBy("row").agg(F.sum("target").alias("_target"), F.sum("background").alias("_background"))
+        scored = scored.join(sums.hint("merge"), "row", "left").withColumns({c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in ("target", "background")})
+    loss = lambda c: F.when(F.col("n_tokens") > 0, -F.col(c) / SCALE / F.col("n_tokens"))
+    return scored.select("doc_id", "n_tokens", loss("target").alias("target_loss"), loss("background").alias("background_loss"), (loss("target") - loss("background")).alias("score"))
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

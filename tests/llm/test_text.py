@@ -368,3 +368,14 @@ def test_chunks_and_long_texts():
     hashes = _text.word_hashes(buf, starts, ends)
     assert len(starts) == 700_003 and first.tolist() == [0, 1, 700_001, 700_003]
     assert hashes[1 + 5] == hashes[1 + 5 + 977 * 700] == hashes[700_001] and len(set(hashes.tolist())) == 979
+
+
+def test_lm_score_tells_all_bytes_apart(spark, docs):
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    pairs = [*enumerate([letters * 30, letters * 20, "7777 7777", "8888 8888", "жжж жжж", "яяя яяя", None, ""]), (0, "8888")]
+    labels = labels_of(spark, [(0, 1, 0), (2, 1, 0), (4, 1, 0)])
+    whole = sorted(map(tuple, lm_score.cross_entropy_difference(spark, docs(pairs), labels).collect()), key=repr)
+    scores = {r[0]: r[4] for r in whole if r[0]}
+    assert scores[2] < scores[3] and scores[4] < scores[5]
+    for head in (0, 9):  # all n-grams, or all but the most frequent, by the distributed table
+        assert sorted(map(tuple, lm_score.cross_entropy_difference(spark, docs(pairs), labels, head=head).collect()), key=repr) == whole
