@@ -42,6 +42,11 @@ def _tokens(df: DataFrame, *keep: str) -> DataFrame:
     return split.select(*keep, "words", F.posexplode("words").alias("at", "term"))
 
 
+def _place() -> Column:
+    """A word's position, not counting an empty string before the first word."""
+    return F.col("at") - F.when(F.element_at("words", 1) == "", 1).otherwise(0)
+
+
 def _windows(bench: DataFrame, size: int) -> DataFrame:
     """(item_id, phrase, words) of each window of each item."""
     words = F.filter(F.split(lowered(F.col("text")), GAP), lambda w: w != "")
@@ -57,7 +62,7 @@ class PositionalIndex:
     def __init__(self, spark: SparkSession, docs: DataFrame, bench: DataFrame, size: int = WINDOW):
         self.work = work = Work(spark, "leaks")
         self.size = size
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.items = work.save(_windows(bench, size).distinct(), "items")
         phrases = work.save(self.items.select("phrase", "words").distinct(), "phrases")
         small = phrases.count() * size <= WINDOWS
@@ -72,15 +77,18 @@ class PositionalIndex:
         # A second term RARER times as frequent as the first costs more to post than the first's matches to compare.
         second = F.when((F.size("by") > 1) & (F.get("by", F.lit(1))["n"] <= RARER * F.get("by", F.lit(0))["n"]), F.lit(2)).otherwise(F.lit(1))
         pick = lambda i: F.element_at("by", F.lit(1) if i == 1 else second)
+        true_second = F.element_at("by", F.when(F.size("by") > 1, F.lit(2)).otherwise(F.lit(1)))
         self.probes = work.save(
-            whole.select("phrase", "words", pick(1)["term"].alias("t1"), pick(1)["off"].alias("o1"), pick(2)["term"].alias("t2"), pick(2)["off"].alias("o2")), "probes"
-        )
+            whole.select(
+                "phrase", "words", pick(1)["term"].alias("t1"), pick(1)["off"].alias("o1"), pick(2)["term"].alias("t2"), pick(2)["off"].alias("o2"),
+                true_second["term"].alias("t3"), true_second["off"].alias("o3"),
+            ), "probes"
+        )  # t3 is the second rarest term however frequent, for proximity
         rare = self.probes.select(F.explode(F.array("t1", "t2")).alias("term")).distinct()
-        shift = F.when(F.element_at("words", 1) == "", 1).otherwise(0)
         first = F.greatest(F.col("at") - (size - 1), F.lit(0))
         posted = _tokens(docs, "doc_id").join(self.hint(rare), "term")
         self.postings = work.save(
-            posted.select("term", "doc_id", (F.col("at") - shift).alias("pos"), (F.col("at") - first).cast("int").alias("behind"), F.slice("words", first + 1, 2 * size - 1).alias("near")), "postings"
+            posted.select("term", "doc_id", _place().alias("pos"), (F.col("at") - first).cast("int").alias("behind"), F.slice("words", first + 1, 2 * size - 1).alias("near")), "postings"
         )
 
     def phrases(self) -> DataFrame:
@@ -95,12 +103,16 @@ class PositionalIndex:
 
     def proximity(self, slop: int) -> DataFrame:
         """(doc_id, phrase, start) where the two rarest terms stand within slop of their distance in the phrase."""
-        one = self.postings.join(self.hint(self.probes.withColumnRenamed("t1", "term")), "term").select("doc_id", "phrase", (F.col("pos") - F.col("o1")).alias("start"))
-        two = self.postings.join(self.hint(self.probes.withColumnRenamed("t2", "term")), "term").select("doc_id", "phrase", (F.col("pos") - F.col("o2")).alias("other"))
+        one = self.postings.join(self.hint(self.probes.withColumnRenamed("t1", "term")), "term").select("doc_id", "phrase", (F.col("pos") - F.col("o1")).alias("start"), F.col("pos").alias("p1"), (F.col("o1") == F.col("o3")).alias("alone"))
+        # Exact phrases need no postings of a frequent second term; those are made here, in documents that hold the first.
+        second = self.probes.select(F.col("t3").alias("term"), "phrase", "o3")
+        held = self.docs.join(one.select("doc_id").distinct(), "doc_id", "left_semi")
+        posts = _tokens(held, "doc_id").join(self.hint(second.select("term").distinct()), "term").select("term", "doc_id", _place().alias("p2"))
+        two = posts.join(self.hint(second), "term").select("doc_id", "phrase", (F.col("p2") - F.col("o3")).alias("other"), "p2")
         cell = slop + 1  # starts within slop lie in the same or the next cell
         one = one.withColumn("cell", F.explode(F.array(*[F.floor(F.col("start") / cell) + k for k in (-1, 0, 1)])))
         two = two.withColumn("cell", F.floor(F.col("other") / cell))
-        return one.join(two, ["doc_id", "phrase", "cell"]).filter(F.abs(F.col("start") - F.col("other")) <= slop).select("doc_id", "phrase", "start").distinct()
+        return one.join(two, ["doc_id", "phrase", "cell"]).filter((F.abs(F.col("start") - F.col("other")) <= slop) & (F.col("alone") | (F.col("p1") != F.col("p2")))).select("doc_id", "phrase", "start").distinct()
 
 
 def contamination(spark: SparkSession, docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> DataFrame:

@@ -379,3 +379,10 @@ def test_lm_score_tells_all_bytes_apart(spark, docs):
     assert scores[2] < scores[3] and scores[4] < scores[5]
     for head in (0, 9):  # all n-grams, or all but the most frequent, by the distributed table
         assert sorted(map(tuple, lm_score.cross_entropy_difference(spark, docs(pairs), labels, head=head).collect()), key=repr) == whole
+
+
+def test_proximity_of_a_frequent_second_term(spark, docs):
+    bench = spark.createDataFrame([(1, "fox over"), (2, "twin twin")], "item_id long, text string")
+    index = decontaminate.PositionalIndex(spark, docs(["fox " + "x " * 30 + "over", "over " * 20, "fox really over", "a twin", "twin twin"]), bench)
+    assert {r.doc_id for r in index.phrases().collect()} == {4}
+    assert {(r.doc_id, r.phrase) for r in index.proximity(2).collect()} == {(2, "fox over"), (4, "twin twin")}
