@@ -10,7 +10,8 @@ Only built-in column functions are used. Links are counted by pair of hosts
 within each task before they are shuffled, so a host with a third of all pages
 or links costs a row per pair; ranks are joined to edges by host, where
 adaptive joins split a hub, and are summed by partial aggregates. Each round
-is written, so that no lineage grows. Rounds end when ranks stand still.
+is written, so that no lineage grows. Rounds end when ranks stand still; what
+moves shrinks by the damping each round, which bounds their number.
 
 Defined cases: a null url, or one without `://`, has an empty host and path,
 fits no rule and is allowed unless the empty host is distrusted; null html has
@@ -21,6 +22,8 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +33,6 @@ from canopy.llm.decontaminate import LOWER, UPPER
 # Fixed values.
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 DAMPING = 0.85
-ROUNDS = 30
 STILL = 1e-9
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^\s/?#"'<>]+)"""
 
@@ -53,7 +55,7 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return out
 
 
-def propagate(work: Work, seeds: DataFrame, edges: DataFrame, name: str, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(work: Work, seeds: DataFrame, edges: DataFrame, name: str, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """(host, rank): personalised PageRank from seeds(host, seed) over edges(a, b, n); rank leaks at hosts without links."""
     total = seeds.agg(F.sum("seed")).first()[0] or 1.0
     start = work.save(seeds.select("host", (F.col("seed") / total).alias("seed")), f"{name}-seed")
@@ -63,6 +65,8 @@ def propagate(work: Work, seeds: DataFrame, edges: DataFrame, name: str, damping
         return now
     now = work.save(now, f"{name}-0")
     base = start.select("host", ((1 - damping) * F.col("seed")).alias("rank"))
+    # A round moves at most damping ** k of all rank, so that many rounds always suffice.
+    rounds = math.ceil(math.log(STILL) / math.log(damping)) + 1 if rounds is None else rounds
     for k in range(1, rounds + 1):
         sent = now.join(shares, F.col("host") == F.col("a")).select(F.col("b").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"))
         then = work.save(base.unionByName(sent).groupBy("host").agg(F.sum("rank").alias("rank")), f"{name}-{k}")

@@ -386,3 +386,9 @@ def test_proximity_of_a_frequent_second_term(spark, docs):
     index = decontaminate.PositionalIndex(spark, docs(["fox " + "x " * 30 + "over", "over " * 20, "fox really over", "a twin", "twin twin"]), bench)
     assert {r.doc_id for r in index.phrases().collect()} == {4}
     assert {(r.doc_id, r.phrase) for r in index.proximity(2).collect()} == {(2, "fox over"), (4, "twin twin")}
+
+
+def test_distrust_goes_down_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"h{k}", f"h{k + 1}", 1) for k in range(40)], "a string, b string, n long")
+    got = {r.host: r["rank"] for r in url_trust.propagate(Work(spark, "t"), spark.createDataFrame([("h0", 1.0)], "host string, seed double"), edges, "t").collect()}
+    assert len(got) == 41 and all(abs(got[f"h{k}"] - 0.15 * 0.85**k) < 1e-9 for k in range(41))
