@@ -12,14 +12,21 @@ it for matching statistics cut at LENGTH. So a shard meets only segments that
 can match it, and the automata never hold the whole corpus, which grows with
 the data and can't be broadcast.
 
+Segments are told apart by a 128-bit digest of their words, made of two hashes
+that aren't linear in the letters; windows of several segments are compared
+word by word in the automaton or the aggregate. An anchor with one distinct
+segment needs no automaton: it would give back the segment's smallest holder.
+
 An anchor with more than HOT distinct segments (the edge of a line that a
 third of all documents hold) is split into its single windows, which are
 summed up before they are shuffled. What is found goes back to documents by
 segment, and each document is cut in one pass over its whole text.
 
 Defined cases: null texts have no words; rows that share an identifier aren't
-each other's references; repeated rows each get a row; an empty table gives
-no rows; other columns are not looked at.
+each other's references; rows without identifier are nobody's reference, have
+none and lose nothing; repeated rows each get a row; very long texts are read
+whole, 2 MB of text or one document at a time; an empty table gives no rows;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -107,19 +114,20 @@ class Automaton:
 
 
 class Segments:
-    """The segments of all texts of an array: doc (index), start (word in its text), windows, anchor and seg hashes."""
+    """The segments of all texts of an array: doc (index), start (word in its text), windows, anchor hash and digest (seg, check)."""
 
     def __init__(self, texts: pa.Array, window: int, anchor: int):
         self.buf, self.starts, self.ends, self.first = _text.words(texts)
         n = len(self.starts)
-        self.hashes = h = _text.word_hashes(self.buf, self.starts, self.ends)
+        self.hashes = pair = _text.word_digests(self.buf, self.starts, self.ends)
+        h = pair[0]
         count = np.diff(self.first)
         of = np.repeat(np.arange(len(count)), count)
         grams = n - anchor + 1
         valid = np.flatnonzero(np.arange(n) + window <= self.first[1:][of]) if n else np.zeros(0, np.int64)
         if not len(valid):
             self.doc = self.start = self.windows = np.zeros(0, np.int64)
-            self.anchor = self.seg = np.zeros(0, np.uint64)
+            self.anchor = self.seg = self.check = np.zeros(0, np.uint64)
             return
         at = np.arange(grams)
         least, where = _text.span_hashes(h, at, at + anchor), at
@@ -140,7 +148,7 @@ class Segments:
         self.doc = doc[heads]
         self.start = self.at - self.first[self.doc]
         self.anchor = least[heads]
-        self.seg = _text.span_hashes(h, self.at, self.at + self.windows + window - 1)
+        self.seg, self.check = _text.span_digests(pair, self.at, self.at + self.windows + window - 1)
 
     def text(self, word: int, n: int) -> bytes:
         return self.buf[self.starts[word] : self.ends[word + n - 1]].tobytes()
@@ -156,7 +164,7 @@ def _anchorer(window: int, anchor: int):
             for batch in _text.chunks(whole):
                 s = Segments(batch.column("text"), window, anchor)
                 ids = batch.column("doc_id").take(pa.array(s.doc))
-                yield pa.RecordBatch.from_arrays([_signed(s.anchor), ids, _signed(s.seg)], names=["anchor", "doc_id", "seg"])
+                yield pa.RecordBatch.from_arrays([_signed(s.anchor), ids, _signed(s.seg), _signed(s.check)], names=["anchor", "doc_id", "seg", "check"])
 
     return run
 
@@ -171,28 +179,29 @@ def _fetcher(window: int, anchor: int):
                 wanted = batch.column("wanted")
                 of = wanted.value_lengths().to_numpy()
                 flat = wanted.flatten()
-                seg, hot = flat.field("seg").to_numpy().view(np.uint64), flat.field("hot").to_numpy(zero_copy_only=False)
+                seg, check = (flat.field(c).to_numpy().view(np.uint64) for c in ("seg", "check"))
+                hot = flat.field("hot").to_numpy(zero_copy_only=False)
                 doc = np.repeat(np.arange(len(of)), of)
-                asked = {(d, x): y for d, x, y in zip(doc.tolist(), seg.tolist(), hot.tolist(), strict=True)}
-                out: list[list] = [[], [], [], [], []]
+                asked = {(d, x, c): y for d, x, c, y in zip(doc.tolist(), seg.tolist(), check.tolist(), hot.tolist(), strict=True)}
+                out: list[list] = [[], [], [], [], [], []]
                 ids = batch.column("doc_id").to_pylist()
                 for k in np.flatnonzero(np.isin(s.seg, seg)).tolist():
-                    d, x = int(s.doc[k]), int(s.seg[k])
-                    split = asked.pop((d, x), None)
+                    d, x, c = int(s.doc[k]), int(s.seg[k]), int(s.check[k])
+                    split = asked.pop((d, x, c), None)
                     if split is None:
                         continue
                     at, n = int(s.at[k]), int(s.windows[k])
                     if split:
                         places = np.arange(at, at + n)
-                        keys = _text.span_hashes(s.hashes[at : at + n + window - 1], places - at, places - at + window).tolist()
-                        rows = [(key, x, j, ids[d], s.text(at + j, window)) for j, key in enumerate(keys)]
+                        keys = _text.span_hashes(s.hashes[0][at : at + n + window - 1], places - at, places - at + window).tolist()
+                        rows = [(key, x, c, j, ids[d], s.text(at + j, window)) for j, key in enumerate(keys)]
                     else:
-                        rows = [(int(s.anchor[k]), x, -1, ids[d], s.text(at, n + window - 1))]
+                        rows = [(int(s.anchor[k]), x, c, -1, ids[d], s.text(at, n + window - 1))]
                     for row in rows:
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
-                cols = [_signed(np.array(out[0], np.uint64)), _signed(np.array(out[1], np.uint64)), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "seg", "place", "owner", "words"])
+                cols = [*(_signed(np.array(x, np.uint64)) for x in out[:3]), pa.array(out[3], pa.int32()), pa.array(out[4], pa.int64()), pa.array(out[5], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "seg", "check", "place", "owner", "words"])
 
     return run
 
@@ -206,20 +215,20 @@ def _judge(window: int):
 
         def judged() -> pa.RecordBatch:
             automaton = Automaton()
-            for _, owner, sequence in shard:
+            for _, _, owner, sequence in shard:
                 automaton.add(sequence, owner)
             automaton.close()
-            found = [automaton.owners(sequence, window) for _, _, sequence in shard]
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in shard], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["seg", "owners"])
+            found = [automaton.owners(sequence, window) for *_, sequence in shard]
+            return pa.RecordBatch.from_arrays([*(pa.array([x[k] for x in shard], pa.int64()) for k in (0, 1)), pa.array(found, pa.list_(pa.int64()))], names=["seg", "check", "owners"])
 
         last = None
         for batch in batches:
-            for key, seg, owner, text in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "owner", "words")), strict=True):
+            for key, seg, check, owner, text in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "check", "owner", "words")), strict=True):
                 if key != last and size > SHARD_WORDS:
                     yield judged()
                     shard, size = [], 0
                 sequence = text.split()
-                shard.append((seg, owner, sequence))
+                shard.append((seg, check, owner, sequence))
                 size += len(sequence)
                 last = key
         if shard:
@@ -241,11 +250,12 @@ def _cutter(window: int, anchor: int, with_text: bool):
                     own = hits.take(pa.array(has))
                     of = np.repeat(np.arange(len(has)), own.value_lengths().to_numpy())
                     flat = own.flatten()
-                    marks = dict(zip(zip(of.tolist(), flat.field("seg").to_numpy().tolist(), strict=True), flat.field("at").to_pylist(), strict=True))
+                    digests = (flat.field(c).to_numpy().tolist() for c in ("seg", "check"))
+                    marks = dict(zip(zip(of.tolist(), *digests, strict=True), flat.field("at").to_pylist(), strict=True))
                     masks = [np.zeros(b - a + 1, np.int64) for a, b in zip(s.first, s.first[1:], strict=False)]
-                    signed = s.seg.view(np.int64)
+                    signed, check = s.seg.view(np.int64), s.check.view(np.int64)
                     for k in np.flatnonzero(np.isin(signed, flat.field("seg").to_numpy())).tolist():
-                        for j in marks.get((int(s.doc[k]), int(signed[k])), ()):
+                        for j in marks.get((int(s.doc[k]), int(signed[k]), int(check[k])), ()):
                             a = int(s.start[k]) + max(j, 0)
                             masks[s.doc[k]][a] += 1
                             masks[s.doc[k]][a + window + (int(s.windows[k]) - 1 if j == WHOLE else 0)] -= 1
@@ -273,30 +283,31 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = LENGTH,
     work = Work(spark, "substring")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = docs.filter("doc_id IS NOT NULL")
-    occurs = known.mapInArrow(_anchorer(window, anchor), "anchor long, doc_id long, seg long")
+    occurs = known.mapInArrow(_anchorer(window, anchor), "anchor long, doc_id long, seg long, check long")
     shared = occurs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").select("anchor")
     shared = work.save(shared, "shared")
     held = work.save(occurs.join(shared, "anchor", "left_semi"), "held")
-    segs = work.save(held.groupBy("anchor", "seg").agg(F.min("doc_id").alias("doc_id")), "segs")
-    counts = work.save(segs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("seg"), F.min("doc_id").alias("owner")), "counts")
-    # An anchor with one segment is answered by its smallest holder; the others need their words.
-    alone = counts.filter("n = 1").select("seg", F.lit(WHOLE).alias("at"), "owner")
+    seg = ["seg", "check"]
+    segs = work.save(held.groupBy("anchor", *seg).agg(F.min("doc_id").alias("doc_id")), "segs")
+    counts = work.save(segs.groupBy("anchor").agg(F.count("*").alias("n"), F.min(F.struct(*seg)).alias("one"), F.min("doc_id").alias("owner")), "counts")
+    # An automaton of one segment would give back its smallest holder for each window; the others need their words.
+    alone = counts.filter("n = 1").select("one.seg", "one.check", F.lit(WHOLE).alias("at"), "owner")
     some_hot = not counts.filter(F.col("n") > hot).isEmpty()
     marked = segs.join(counts.filter("n > 1").select("anchor", (F.col("n") > hot).alias("hot")), "anchor")
-    wanted = marked.groupBy("doc_id").agg(F.collect_list(F.struct("seg", "hot")).alias("wanted"))
-    fetched = work.save(docs.join(wanted, "doc_id").mapInArrow(_fetcher(window, anchor), "key long, seg long, place int, owner long, words binary"), "fetched")
-    shards = fetched.filter("place < 0").repartition("key").sortWithinPartitions("key").select("key", "seg", "owner", "words")
-    judged = shards.mapInArrow(_judge(window), "seg long, owners array<long>")
-    owned = alone.unionByName(judged.select("seg", F.posexplode("owners").alias("at", "owner")))
+    wanted = marked.groupBy("doc_id").agg(F.collect_list(F.struct(*seg, "hot")).alias("wanted"))
+    fetched = work.save(docs.join(wanted, "doc_id").mapInArrow(_fetcher(window, anchor), "key long, seg long, check long, place int, owner long, words binary"), "fetched")
+    shards = fetched.filter("place < 0").repartition("key").sortWithinPartitions("key").select("key", *seg, "owner", "words")
+    judged = shards.mapInArrow(_judge(window), "seg long, check long, owners array<long>")
+    owned = alone.unionByName(judged.select(*seg, F.posexplode("owners").alias("at", "owner")))
     if some_hot:
         single = fetched.filter("place >= 0")
         least = single.groupBy("key", "words").agg(F.min("owner").alias("least"))
-        owned = owned.unionByName(single.join(least, ["key", "words"]).select("seg", F.col("place").alias("at"), F.col("least").alias("owner")))
+        owned = owned.unionByName(single.join(least, ["key", "words"]).select(*seg, F.col("place").alias("at"), F.col("least").alias("owner")))
     # Of one segment a window may be asked about by many documents: kept per segment, not per document.
-    by_seg = work.save(owned.groupBy("seg").agg(F.collect_list(F.struct("at", "owner")).alias("owners")), "owners")
+    by_seg = work.save(owned.groupBy(*seg).agg(F.collect_list(F.struct("at", "owner")).alias("owners")), "owners")
     at = F.transform(F.filter("owners", lambda x: x["owner"] < F.col("doc_id")), lambda x: x["at"])
-    hits = held.select("doc_id", "seg").distinct().join(by_seg, "seg").select("doc_id", "seg", at.alias("at")).filter(F.size("at") > 0)
-    by_doc = work.save(hits.groupBy("doc_id").agg(F.collect_list(F.struct("seg", "at")).alias("hits")), "hits")
+    hits = held.select("doc_id", *seg).distinct().join(by_seg, seg).select("doc_id", *seg, at.alias("at")).filter(F.size("at") > 0)
+    by_doc = work.save(hits.groupBy("doc_id").agg(F.collect_list(F.struct(*seg, "at")).alias("hits")), "hits")
     work.drop("shared", "held", "segs", "counts", "fetched", "owners")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return docs.join(by_doc, "doc_id", "left").mapInArrow(_cutter(window, anchor, with_text), schema)

@@ -392,3 +392,22 @@ def test_distrust_goes_down_a_long_chain(spark):
     edges = spark.createDataFrame([(f"h{k}", f"h{k + 1}", 1) for k in range(40)], "a string, b string, n long")
     got = {r.host: r["rank"] for r in url_trust.propagate(Work(spark, "t"), spark.createDataFrame([("h0", 1.0)], "host string, seed double"), edges, "t").collect()}
     assert len(got) == 41 and all(abs(got[f"h{k}"] - 0.15 * 0.85**k) < 1e-9 for k in range(41))
+
+
+def test_words_that_a_linear_hash_confuses(spark, docs):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2^64, for any base."""
+    for size in (2048,):
+        bits = [bin(k).count("1") % 2 for k in range(size)]
+        a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+        lead = " ".join(f"w{k}" for k in range(12))
+        for pairs in ([(1, f"{lead} {a}"), (2, f"{lead} {b}")], [(1, f"{a} {lead}"), (2, f"{b} {lead}"), (3, f"{b} {lead}")]):
+            got = sorted(map(tuple, substring_dedup.substring_dedup(spark, docs(pairs)).collect()))
+            assert got == brute_substrings(pairs)
+    eight = ["ab" * 4, "ba" * 4]
+    blocks = ["".join(eight[bin(k).count("1") % 2 ^ c] for k in range(2048)) for c in (0, 1)]
+    rng = random.Random(3)
+    words = [*blocks, *("".join(rng.choice("ab") for _ in range(n)) for n in range(1, 80) for _ in range(40))]
+    data = pa.array([" ".join(words)])
+    buf, starts, ends, _ = _text.words(data)
+    one, two = _text.word_digests(buf, starts, ends)
+    assert len(set(one.tolist())) == len(set(words)) == len(set(two.tolist())) == len(set(zip(words, one.tolist(), two.tolist())))
