@@ -12,10 +12,16 @@ bits, up to LEVELS times, then compared block against block: nothing is
 dropped, and no task gets more than two blocks. A bucket gives a spanning
 forest of its links, never all pairs.
 
+Rows are nodes by their fingerprints, whatever their identifiers; a component
+is named after the smallest identifier of its rows.
+
 Defined cases: null and empty texts have fingerprint zero and are linked like
-any other; texts under three words are one shingle; rows that share an
-identifier are one node; a row without identifier gets the component of its
-fingerprint, null if no row of it has one; an empty table gives no rows.
+any other; texts under three words are one shingle; very long texts are read
+whole, shingles in blocks; rows that share an identifier but not a component
+get one each of their own; a component without any identifier has a null
+name, and still keeps one row only; of several rows with a component's
+smallest identifier the one with the smallest text hash stays; other columns
+pass through, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from canopy.llm._graph import components
 from canopy.llm._store import Work, table
@@ -58,10 +65,13 @@ def fingerprint(text: bytes) -> int:
     return int("".join("1" if 2 * c > n else "0" for c in counts), 2)
 
 
-def _printer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        prints = [fingerprint(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(prints, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+def _printer(keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [fingerprint(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.array(prints, np.uint64).view(np.int64))], names=[*keep, "fp"])
+
+    return run
 
 
 def covering_masks(bits: list[int], radius: int = RADIUS) -> list[int]:
@@ -171,22 +181,36 @@ def near_links(work: Work, prints: DataFrame, radius: int = RADIUS, most: int =
     return out
 
 
+def _components_of(work: Work, marked: DataFrame, radius: int, most: int, levels: int) -> DataFrame:
+    """(fp, root, component_id): by fingerprint, its component's smallest fingerprint and identifier."""
+    prints = work.save(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+    roots = components(work, near_links(work, prints.select("fp", F.col("fp").alias("rep")), radius, most, levels))
+    placed = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    return placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+
+
 def simhash_components(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, most: int = MOST, levels: int = LEVELS) -> DataFrame:
     """A row per row of docs(doc_id, text): doc_id, fingerprint, component_id."""
     work = Work(spark, "simhash")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = work.save(rows.mapInArrow(_printer, "doc_id long, fp long"), "marked")
-    prints = marked.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    named = work.save(prints.filter("rep IS NOT NULL"), "prints")
-    roots = components(work, near_links(work, named, radius, most, levels))
-    placed = named.join(roots, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    marked = work.save(rows.mapInArrow(_printer(["doc_id"]), "doc_id long, fp long"), "marked")
+    placed = _components_of(work, marked, radius, most, levels)
     return marked.join(placed, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_representatives(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs whose identifier is the smallest of their component, as they are."""
-    kept = simhash_components(spark, docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+def keep_representatives(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, most: int = MOST, levels: int = LEVELS) -> DataFrame:
+    """Of each component the row of docs with the smallest identifier, as it is."""
+    work = Work(spark, "simhash")
+    text = F.col("text").cast("string")
+    # The rows are numbered and written, so that one of several with the same identifier can be told from the others.
+    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    keep = ["row", "doc_id", "hash", "whole"]
+    schema = T.StructType([whole.schema[c] for c in keep] + [T.StructField("fp", T.LongType())])
+    marked = work.save(whole.mapInArrow(_printer(keep), schema), "marked")
+    placed = _components_of(work, marked.select("doc_id", "fp"), radius, most, levels)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash", "row")).alias("first")
+    kept = marked.select("row", "doc_id", "hash", "fp").join(placed, "fp").groupBy("root").agg(first).select("first.row")
+    return marked.select("row", "whole").join(kept, "row", "left_semi").select("whole.*")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
