@@ -9,13 +9,19 @@ Equal texts take the place of the one with the smallest identifier and are
 neighbours in the order, so a cut parts a group only where the law `rows`
 (shard counts at most one apart) leaves no choice.
 
+The grid's bounds are exact quantiles of all rows, found by rank, so the same
+rows give the same shards however they are dealt.
+
 Only built-in column functions are used. Texts are read once, for size,
 checksum and hash; what is shuffled is a narrow row per document. A hot group
 spreads over range partitions because the identifier is part of the key.
 
 Defined cases: a null text has size 1 and checksum 0 and is grouped with
 empty ones; null language, source or identifier take grid cell 0; ties are
-ordered by text hash and identifier; an empty table gives no rows.
+ordered by text hash and identifier, rows with null identifiers before others;
+rows that repeat each get a place of their own; very long texts are read
+whole; other columns aren't looked at, and written shards hold them as they
+are, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -83,8 +89,28 @@ def _cell(column: str, bounds: list, bits: int) -> Column:
     return F.coalesce(F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in inner]), lambda b: b < F.col(column))), F.lit(0))
 
 
-def hilbert_order(spark: SparkSession, docs: DataFrame, bits: int = BITS) -> tuple[DataFrame, int]:
-    """A row per document with its place in the curve's order, and the number of rows."""
+def _ranked(work: Work, df: DataFrame, key: list[str], name: str) -> tuple[DataFrame, int]:
+    """df with the place of each row in key's order, as _rank from 0, and the number of rows."""
+    lined = work.save(df.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftrightunsigned("_at", 33)
+    parts = lined.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = parts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    # A row for each range partition: bounded by the partition count.
+    ranked = lined.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return ranked.withColumn("_rank", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))), lined.count()
+
+
+def _bounds(work: Work, df: DataFrame, column: str, bits: int) -> list[int]:
+    """The values at the whole 2**bits-ths of column's order."""
+    ranked, n = _ranked(work, df.select(column).filter(F.col(column).isNotNull()), [column], f"by-{column}")
+    marks = sorted({k * n >> bits for k in range(1, 1 << bits)} - {n})
+    found = [r[0] for r in ranked.filter(F.col("_rank").isin(marks)).select(column).collect()] if n else []  # at most 2**bits rows
+    work.drop(f"by-{column}")
+    return found
+
+
+def hilbert_order(spark: SparkSession, docs: DataFrame, bits: int = BITS, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """A row per document with its place in the curve's order, and the number of rows; columns in keep go along."""
     work = Work(spark, "hilbert")
     text = F.coalesce("text", F.lit(""))
     meta = work.save(
@@ -96,32 +122,24 @@ def hilbert_order(spark: SparkSession, docs: DataFrame, bits: int = BITS) -> tup
             F.struct(F.xxhash64("lang").alias("lang"), F.xxhash64("source").alias("source")).alias("_meta"),
             F.col("lang").isNull().alias("_nolang"),
             F.col("source").isNull().alias("_nosource"),
+            *keep,
         ),
         "meta",
     )
     same = ["_text", "size", "text_crc32"]
     lead = meta.groupBy(*same).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_nolang", "_nosource", "_meta")).alias("_lead"))
-    marks = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = meta.agg(F.percentile_approx("size", marks, 1000).alias("size"), F.percentile_approx("doc_id", marks, 1000).alias("id")).first()
+    bounds = {c: _bounds(work, meta, c, bits) for c in ("size", "doc_id")}
     hashed = lambda c, none: F.when(F.col(none), F.lit(0)).otherwise(F.pmod(F.shiftright(F.col(c), 7), F.lit(1 << bits)))
-    axes = [hashed("_lead._meta.lang", "_lead._nolang"), hashed("_lead._meta.source", "_lead._nosource"), _cell("size", bounds["size"], bits), _cell("_lead.doc_id", bounds["id"], bits)]
+    axes = [hashed("_lead._meta.lang", "_lead._nolang"), hashed("_lead._meta.source", "_lead._nosource"), _cell("size", bounds["size"], bits), _cell("_lead.doc_id", bounds["doc_id"], bits)]
     # Written first, so that the join below is one of two plain shuffles, which adaptive execution splits where a text is hot.
     curve = work.save(lead.withColumn("_curve", hilbert_index(axes, bits)).select(*same, "_curve"), "curve")
-    placed = meta.select(*same, "doc_id").join(curve, same)
-    key = ["_curve", "_text", "size", "text_crc32", "doc_id"]
-    lined = work.save(placed.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("_at", F.monotonically_increasing_id()), "lined")
-    part = F.shiftrightunsigned("_at", 33)
-    parts = lined.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = parts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    # A row for each range partition: bounded by the partition count.
-    ranked = lined.withColumn("_part", part).join(F.broadcast(before), "_part")
-    ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
-    return ranked, lined.count()
+    placed = meta.select(*same, "doc_id", *keep).join(curve, same)
+    return _ranked(work, placed, ["_curve", "_text", "size", "text_crc32", "doc_id"], "lined")
 
 
-def shard_by_hilbert(spark: SparkSession, docs: DataFrame, shards: int = 16) -> DataFrame:
-    """doc_id, size, text_crc32, law `rows`, shard, slot, grown_shard (null) for each row."""
-    ranked, n = hilbert_order(spark, docs)
+def shard_by_hilbert(spark: SparkSession, docs: DataFrame, shards: int = 16, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, text_crc32, law `rows`, shard, slot, grown_shard (null), curve index and the columns in keep for each row."""
+    ranked, n = hilbert_order(spark, docs, keep=keep)
     shard = F.expr(f"(_rank * {shards}) div {max(n, 1)}")
     first = F.expr(f"(_shard * {n} + {shards - 1}) div {shards}")
     return ranked.withColumn("_shard", shard).select(
@@ -133,14 +151,26 @@ def shard_by_hilbert(spark: SparkSession, docs: DataFrame, shards: int = 16) ->
         (F.col("_rank") - first).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         F.col("_curve").alias("hilbert"),
+        *keep,
     )
 
 
-def write_shards(spark: SparkSession, docs: DataFrame, path: str, shards: int = 16) -> None:
-    """docs as one folder a shard, each shard's rows in curve order within its files."""
-    plan = shard_by_hilbert(spark, docs, shards).select(F.col("doc_id").alias("__shard_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    joined = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("__shard_id"))).drop("__shard_id")
-    joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot").write.mode("overwrite").partitionBy("_shard").parquet(path)
+def write_shards(spark: SparkSession, docs: DataFrame, path: str, shards: int = 16) -> str:
+    """docs as one folder a shard, each shard's rows in curve order within its files; gives the shard column's name.
+
+    Rows are numbered and written first, so each meets its own place. The column
+    is `_shard`, with more underscores before it where docs has one of that name.
+    """
+    work = Work(spark, "shards")
+    name = "_shard"
+    while name.lower() in [c.lower() for c in docs.columns]:
+        name = "_" + name
+    whole = work.save(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_whole")), "whole")
+    rows = whole.select("_row", *[F.col(f"_whole.{c}") for c in ("doc_id", "text", "lang", "source")])
+    plan = shard_by_hilbert(spark, rows, shards, ("_row",)).select("_row", "shard", "slot")
+    lined = whole.join(plan, "_row").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    lined.select("_whole.*", F.col("shard").alias(name)).write.mode("overwrite").partitionBy(name).parquet(path)
+    return name
 
 
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
