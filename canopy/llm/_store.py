@@ -12,7 +12,8 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OPEN: list[tuple[SparkSession, str]] = []
 
@@ -80,5 +81,20 @@ def _close() -> None:
             return
 
 
+KEY = ["doc", "sig"]
+
+
+def keyed(docs: DataFrame, *keep: Column) -> DataFrame:
+    """doc, sig and keep of docs(doc_id, text): rows with different identifiers or texts differ in doc or sig; sig is odd where there is no identifier."""
+    own = F.col("doc_id").cast("long")
+    sig = F.shiftleft(F.xxhash64(F.col("text").cast("string")), 1).bitwiseOR(own.isNull().cast("long"))
+    return docs.select(F.coalesce(own, F.lit(0)).alias("doc"), sig.alias("sig"), *keep)
+
+
+def doc_id() -> Column:
+    """The identifier that doc and sig stand for."""
+    return F.when(F.col("sig").bitwiseAND(F.lit(1)) == 0, F.col("doc")).alias("doc_id")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

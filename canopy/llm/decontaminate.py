@@ -7,12 +7,20 @@ words around them, the two lists are shifted by the terms' offsets in the
 window and intersected, and what remains is compared word by word with the
 window. Frequent words are never posted unless a window has no rarer one.
 
-Only built-in column functions are used. The test side is broadcast while its
-measured row count is within WINDOWS; beyond it the same joins shuffle.
+Only built-in column functions are used, and one plan at every size. Words are
+first sifted by BUCKETS hash buckets of the wanted terms, a broadcast of at
+most that many numbers; what passes is cut down to a posting before the join
+with the terms themselves, which Spark broadcasts or shuffles by their size.
+No exchange ever holds a document's words.
+
+A document is known by its identifier and a hash of its text, so rows that
+share or lack an identifier are told apart.
 
 Defined cases: null texts have no words and no hits; an item of fewer words
 than a window is one window, one without words none; repeated rows each get a
-row; rows that share an identifier share its hits; empty tables give no rows,
+row, as do rows without identifier; very long texts are read whole; equally
+frequent terms are taken by their place in the window; other columns are not
+looked at, or pass through whatever their names; empty tables give no rows,
 or rows without hits; null item identifiers are left out.
 """
 
@@ -21,10 +29,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm._store import Work, table
+from canopy.llm._store import KEY, Work, doc_id, keyed, table
 
 WINDOW = 8
-WINDOWS = 200_000
+BUCKETS = 1 << 18
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -56,23 +64,31 @@ def _windows(bench: DataFrame, size: int) -> DataFrame:
     return cut.select("item_id", F.array_join("words", " ").alias("phrase"), "words")
 
 
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
+
+
+def _sifted(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Tokens whose hash bucket is one of a wanted term's; the broadcast has at most BUCKETS rows."""
+    buckets = wanted.select(_bucket(F.col("term")).alias("_bucket")).distinct()
+    return tokens.join(F.broadcast(buckets), _bucket(F.col("term")) == F.col("_bucket"), "left_semi")
+
+
 class PositionalIndex:
     """Postings of the rarest terms of the test windows over docs(doc_id, text)."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, bench: DataFrame, size: int = WINDOW):
         self.work = work = Work(spark, "leaks")
         self.size = size
-        self.docs = docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs = keyed(docs, F.col("text").cast("string").alias("text"))
         self.items = work.save(_windows(bench, size).distinct(), "items")
         phrases = work.save(self.items.select("phrase", "words").distinct(), "phrases")
-        small = phrases.count() * size <= WINDOWS
-        self.hint = F.broadcast if small else lambda df: df
         terms = phrases.select(F.posexplode("words").alias("off", "term"), "phrase")
-        vocabulary = terms.select("term").distinct()
-        seen = _tokens(docs).select("term").join(self.hint(vocabulary), "term").groupBy("term").agg(F.count("*").alias("n"))
-        seen = work.save(seen, "frequency")
+        vocabulary = work.save(terms.select("term").distinct(), "vocabulary")
+        counted = _sifted(_tokens(docs).select("term"), vocabulary).groupBy("term").agg(F.count("*").alias("n"))
+        seen = work.save(counted.join(vocabulary, "term", "left_semi"), "frequency")
         # By phrase at most a window of rows; a phrase with an absent term can't occur.
-        ranked = terms.join(self.hint(seen), "term").groupBy("phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off", "term"))).alias("by"))
+        ranked = terms.join(seen, "term").groupBy("phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off", "term"))).alias("by"))
         whole = phrases.join(ranked, "phrase").filter(F.size("by") == F.size("words"))
         # A second term RARER times as frequent as the first costs more to post than the first's matches to compare.
         second = F.when((F.size("by") > 1) & (F.get("by", F.lit(1))["n"] <= RARER * F.get("by", F.lit(0))["n"]), F.lit(2)).otherwise(F.lit(1))
@@ -84,60 +100,73 @@ class PositionalIndex:
                 true_second["term"].alias("t3"), true_second["off"].alias("o3"),
             ), "probes"
         )  # t3 is the second rarest term however frequent, for proximity
-        rare = self.probes.select(F.explode(F.array("t1", "t2")).alias("term")).distinct()
+        rare = work.save(self.probes.select(F.explode(F.array("t1", "t2")).alias("term")).distinct(), "rare")
         first = F.greatest(F.col("at") - (size - 1), F.lit(0))
-        posted = _tokens(docs, "doc_id").join(self.hint(rare), "term")
-        self.postings = work.save(
-            posted.select("term", "doc_id", _place().alias("pos"), (F.col("at") - first).cast("int").alias("behind"), F.slice("words", first + 1, 2 * size - 1).alias("near")), "postings"
-        )
+        posting = _sifted(_tokens(docs, *KEY), rare).select(*KEY, "term", _place().alias("pos"), (F.col("at") - first).cast("int").alias("behind"), F.slice("words", first + 1, 2 * size - 1).alias("near"))
+        self.postings = work.save(posting.join(rare, "term", "left_semi"), "postings")
+
+    def _matches(self) -> DataFrame:
+        """Exact matches: (doc, sig, phrase, start, length)."""
+        one = self.postings.join(self.probes.withColumnRenamed("t1", "term"), "term")
+        one = one.select(*KEY, "phrase", "words", (F.col("pos") - F.col("o1")).alias("start"), "near", (F.col("behind") - F.col("o1")).alias("skip"))
+        two = self.postings.join(self.probes.select(F.col("t2").alias("term"), "phrase", "o2"), "term")
+        two = two.select(*KEY, "phrase", (F.col("pos") - F.col("o2")).alias("start"))
+        both = one.filter("start >= 0 AND skip >= 0").join(two, [*KEY, "phrase", "start"], "left_semi")
+        same = F.slice("near", F.col("skip") + 1, F.size("words")) == F.col("words")
+        return both.filter(same).select(*KEY, "phrase", "start", F.size("words").alias("length")).distinct()
 
     def phrases(self) -> DataFrame:
         """Exact matches: (doc_id, phrase, start, length)."""
-        one = self.postings.join(self.hint(self.probes.withColumnRenamed("t1", "term")), "term")
-        one = one.select("doc_id", "phrase", "words", (F.col("pos") - F.col("o1")).alias("start"), "near", (F.col("behind") - F.col("o1")).alias("skip"))
-        two = self.postings.join(self.hint(self.probes.select(F.col("t2").alias("term"), "phrase", "o2")), "term")
-        two = two.select("doc_id", "phrase", (F.col("pos") - F.col("o2")).alias("start"))
-        both = one.filter("start >= 0 AND skip >= 0").join(two, ["doc_id", "phrase", "start"], "left_semi")
-        same = F.slice("near", F.col("skip") + 1, F.size("words")) == F.col("words")
-        return both.filter(same).select("doc_id", "phrase", "start", F.size("words").alias("length")).distinct()
+        return self._matches().select(doc_id(), "phrase", "start", "length")
 
     def proximity(self, slop: int) -> DataFrame:
         """(doc_id, phrase, start) where the two rarest terms stand within slop of their distance in the phrase."""
-        one = self.postings.join(self.hint(self.probes.withColumnRenamed("t1", "term")), "term").select("doc_id", "phrase", (F.col("pos") - F.col("o1")).alias("start"), F.col("pos").alias("p1"), (F.col("o1") == F.col("o3")).alias("alone"))
+        one = self.postings.join(self.probes.withColumnRenamed("t1", "term"), "term").select(*KEY, "phrase", (F.col("pos") - F.col("o1")).alias("start"), F.col("pos").alias("p1"), (F.col("o1") == F.col("o3")).alias("alone"))
         # Exact phrases need no postings of a frequent second term; those are made here, in documents that hold the first.
         second = self.probes.select(F.col("t3").alias("term"), "phrase", "o3")
-        held = self.docs.join(one.select("doc_id").distinct(), "doc_id", "left_semi")
-        posts = _tokens(held, "doc_id").join(self.hint(second.select("term").distinct()), "term").select("term", "doc_id", _place().alias("p2"))
-        two = posts.join(self.hint(second), "term").select("doc_id", "phrase", (F.col("p2") - F.col("o3")).alias("other"), "p2")
+        held = self.docs.join(one.select(*KEY).distinct(), KEY, "left_semi")
+        terms = second.select("term").distinct()
+        posts = _sifted(_tokens(held, *KEY), terms).select(*KEY, "term", _place().alias("p2"))
+        two = posts.join(second, "term").select(*KEY, "phrase", (F.col("p2") - F.col("o3")).alias("other"), "p2")
         cell = slop + 1  # starts within slop lie in the same or the next cell
         one = one.withColumn("cell", F.explode(F.array(*[F.floor(F.col("start") / cell) + k for k in (-1, 0, 1)])))
         two = two.withColumn("cell", F.floor(F.col("other") / cell))
-        return one.join(two, ["doc_id", "phrase", "cell"]).filter((F.abs(F.col("start") - F.col("other")) <= slop) & (F.col("alone") | (F.col("p1") != F.col("p2")))).select("doc_id", "phrase", "start").distinct()
+        near = one.join(two, [*KEY, "phrase", "cell"]).filter((F.abs(F.col("start") - F.col("other")) <= slop) & (F.col("alone") | (F.col("p1") != F.col("p2"))))
+        return near.select(*KEY, "phrase", "start").distinct().select(doc_id(), "phrase", "start")
 
 
 def contamination(spark: SparkSession, docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> DataFrame:
     """A row per row of docs(doc_id, text) against bench(item_id, text)."""
     index = PositionalIndex(spark, docs, bench, size)
-    hits = index.work.save(index.phrases(), "hits")
-    index.work.drop("phrases", "frequency", "probes", "postings")
-    words = hits.select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("pos")).distinct()
-    hit = words.groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    items = hits.select("doc_id", "phrase").distinct().join(index.hint(index.items.select("phrase", "item_id")), "phrase").select("doc_id", "item_id").distinct()
-    names = items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("item_id").cast("string"))), ","), 256).alias("items_sha256"))
-    found = hit.join(names, "doc_id")
-    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.split(F.coalesce("text", F.lit("")), ANY_CASE_GAP).alias("w"))
+    hits = index.work.save(index._matches(), "hits")
+    index.work.drop("phrases", "vocabulary", "frequency", "probes", "rare", "postings")
+    words = hits.select(*KEY, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("pos")).distinct()
+    hit = words.groupBy(*KEY).agg(F.count("*").alias("n_hit"))
+    items = hits.select(*KEY, "phrase").distinct().join(index.items.select("phrase", "item_id"), "phrase").select(*KEY, "item_id").distinct()
+    names = items.groupBy(*KEY).agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("item_id").cast("string"))), ","), 256).alias("items_sha256"))
+    found = hit.join(names, KEY)
+    split = keyed(docs, F.split(F.coalesce("text", F.lit("")), ANY_CASE_GAP).alias("w"))
     blank = lambda k: F.when(F.element_at("w", k) == "", 1).otherwise(0)
-    base = split.select("doc_id", F.greatest(F.size("w") - blank(1) - blank(-1), F.lit(0)).cast("long").alias("n_words"))
+    base = split.select(*KEY, F.greatest(F.size("w") - blank(1) - blank(-1), F.lit(0)).cast("long").alias("n_words"))
     n = F.coalesce("n_items", F.lit(0)).cast("long")
-    return base.join(found, "doc_id", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), n.alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n >= 2).alias("contaminated")
+    return base.join(found, KEY, "left").select(
+        doc_id(), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), n.alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n >= 2).alias("contaminated")
     )
 
 
-def keep_uncontaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows of docs that hold no window of any item, as they are."""
-    hit = PositionalIndex(spark, docs, bench, size).phrases().select(F.col("doc_id").alias("__hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("__hit_id")), "left_anti")
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, size: int = WINDOW, least_items: int = 1, least_words: int = 1) -> DataFrame:
+    """The rows of docs that hold windows of fewer than least_items items, as they are.
+
+    Windows of fewer than least_words words are passed over: with the default of
+    one, an item of a single word makes every document with that word go.
+    """
+    index = PositionalIndex(spark, docs, bench, size)
+    hits = index._matches().filter(F.col("length") >= least_words)
+    if least_items > 1:
+        named = hits.select(*KEY, "phrase").distinct().join(index.items.select("phrase", "item_id"), "phrase")
+        hits = named.groupBy(*KEY).agg(F.count_distinct("item_id").alias("n")).filter(F.col("n") >= least_items)
+    hit = hits.select(*KEY).distinct()
+    return keyed(docs, F.struct("*").alias("whole")).join(hit, KEY, "left_anti").select("whole.*")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
