@@ -100,9 +100,17 @@ class Encoder:
 
 def _piece_maker(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        collecting = gc.isenabled()
+        gc.disable()  # the tables below are large and hold no cycles
+        try:
+            yield from cut(batches)
+        finally:  # the worker is used again
+            if collecting:
+                gc.enable()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        gc.disable()  # the tables below are large and hold no cycles
         part, encode = TaskContext.get().partitionId(), Encoder(path)
         seats = np.zeros(length + 1, np.int64)
         for batch in batches:
