@@ -36,12 +36,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.llm import _text
+from canopy.llm._ngrams import HEAD, SCALE, count_ngrams, sums_by_row
 from canopy.llm._store import Work, table
 
 ORDER = 4
 SYMBOLS = 258  # a text's start, 256 bytes, and one for other bytes where there are fewer
-HEAD = 1 << 20
-SCALE = 1 << 24
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,18 +65,6 @@ def codes(texts: pa.Array, symbol: np.ndarray, order: int, symbols: int) -> tupl
     return code, offsets
 
 
-def _counter(symbol: np.ndarray, order: int, symbols: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in _text.chunks(whole):
-                code, offsets = codes(batch.column("text"), symbol, order, symbols)
-                target = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
-                seen, n = np.unique(code << 1 | target, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(seen >> 1), pa.array(n, pa.int64()), pa.array(n * (seen & 1), pa.int64())], names=["code", "n_all", "n_target"])
-
-    return run
-
-
 def log_probabilities(work: Work, counts: DataFrame, order: int, symbols: int) -> DataFrame:
     """(code, n_all, target, background): log p(last symbol | the ones before) times SCALE, with Witten-Bell interpolation."""
     level = {order: counts}
@@ -95,41 +82,8 @@ def log_probabilities(work: Work, counts: DataFrame, order: int, symbols: int) -
         p = [F.when(F.col(f"total_{c}") > 0, (F.col(f"n_{c}") + F.col(f"kinds_{c}") * F.col(f"low_{c}")) / (F.col(f"total_{c}") + F.col(f"kinds_{c}"))).otherwise(F.col(f"low_{c}")).alias(f"p_{c}") for c in ("all", "target")]
         below = work.save(joined.select("code", "n_all", *p), f"p{k}")
         work.drop(f"p{k - 1}", f"count{k}")
-    fixed = lambda c: F.round(F.log(c) * SCALE).cast("long")
-    return below.select("code", "n_all", fixed("p_target").alias("target"), fixed("p_all").alias("background"))
-
-
-def _head(model: DataFrame, most: int) -> int:
-    """The least count for which at most so many n-grams occur as often; counts are told apart by 64 bit lengths and 64 steps within each."""
-    step = F.floor(F.log2("n_all") * 64)
-    bins = model.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("n_all").alias("least")).collect()  # at most 64 * 64 rows
-    least, held = (1 << 63) - 1, 0
-    for r in sorted(bins, key=lambda r: -r["step"]):
-        held += r["n"]
-        if held > most:
-            break
-        least = r["least"]
-    return least
-
-
-def _scorer(shared, symbol: np.ndarray, order: int, symbols: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, *models = shared.value
-        for whole in batches:
-            for batch in _text.chunks(whole):
-                code, offsets = codes(batch.column("text"), symbol, order, symbols)
-                at = np.minimum(np.searchsorted(keys, code), max(len(keys) - 1, 0))
-                found = keys[at] == code if len(keys) else np.zeros(len(code), bool)
-                cols = []
-                for model in models:
-                    own = np.where(found, model[at], 0) if len(keys) else np.zeros(len(code), np.int64)
-                    total = np.concatenate(([0], np.cumsum(own)))
-                    cols.append(pa.array(total[offsets[1:]] - total[offsets[:-1]]))
-                missed = np.concatenate(([0], np.cumsum(~found)))[offsets]
-                tail = pa.ListArray.from_arrays(pa.array(missed, pa.int32()), pa.array(code[~found]))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), *cols, tail], names=["row", "doc_id", "n_tokens", "target", "background", "tail"])
-
-    return run
+    log = lambda c: F.round(F.log(c) * SCALE).cast("long")
+    return below.select("code", "n_all", log("p_target").alias("target"), log("p_all").alias("background"))
 
 
 def cross_entropy_difference(spark: SparkSession, docs: DataFrame, labels: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, head: int = HEAD) -> DataFrame:
@@ -144,25 +98,15 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, labels: DataF
         for k, r in enumerate(frequent[: symbols - 2]):
             symbol[r["byte"]] = k + 1
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("target"))
+    coder = lambda texts: codes(texts, symbol, order, symbols)
     # Labels grow with the documents: the join is dealt by key at every size, never broadcast.
     marked = docs.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = marked.mapInArrow(_counter(symbol, order, symbols), "code long, n_all long, n_target long")
-    counts = work.save(counted.groupBy("code").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")), f"count{order}")
+    counts = work.save(count_ngrams(marked, coder, "target"), f"count{order}")
     if not counts.agg(F.sum("n_target")).first()[0]:
         counts = counts.withColumn("n_target", F.col("n_all"))
     model = work.save(log_probabilities(work, counts, order, symbols), "model")
     work.drop(f"p{order}")
-    least = _head(model, head)
-    got = model.filter(F.col("n_all") >= least).select("code", "target", "background").toArrow().sort_by("code")  # at most head rows
-    shared = spark.sparkContext.broadcast(tuple(got.column(c).to_numpy() for c in ("code", "target", "background")))
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    scored = work.save(numbered.mapInArrow(_scorer(shared, symbol, order, symbols), "row long, doc_id long, n_tokens long, target long, background long, tail array<long>"), "scored")
-    rest = model.filter(F.col("n_all") < least)
-    if not rest.isEmpty():
-        # The table grows with the corpus: dealt by n-gram, each of which is rarer than any broadcast.
-        sought = scored.select("row", F.explode("tail").alias("code")).join(rest.hint("shuffle_hash"), "code")
-        sums = sought.groupBy("row").agg(F.sum("target").alias("_target"), F.sum("background").alias("_background"))
-        scored = scored.join(sums.hint("merge"), "row", "left").withColumns({c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in ("target", "background")})
+    scored = sums_by_row(work, docs, model, coder, ["target", "background"], head)
     loss = lambda c: F.when(F.col("n_tokens") > 0, -F.col(c) / SCALE / F.col("n_tokens"))
     return scored.select("doc_id", "n_tokens", loss("target").alias("target_loss"), loss("background").alias("background_loss"), (loss("target") - loss("background")).alias("score"))
 

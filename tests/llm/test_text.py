@@ -158,15 +158,58 @@ def test_kneser_ney(spark, docs, monkeypatch):
         return seen[len(seen)]
 
     monkeypatch.setattr(quality, "_discounts", spy)
-    monkeypatch.setattr(quality, "SHARD_BYTES", 64)
-    model = quality.KneserNey(spark, Work(spark, "t"), df, 3)
+    work = Work(spark, "t")
+    model = quality.KneserNey(work, df, 3)
     texts = ["abc", "cabba", "zz", "a", "", None, "é abc"]
-    n, log = model.losses(pa.array(texts))
+    corpus = quality.count_ngrams(docs(texts), quality.coder(3))
+    logs = quality.log_probabilities(work, corpus, {"log": model}, 3).withColumn("log", quality.fixed("log"))
     brute = brute_kneser_ney([t.encode() for t in train], 3, seen)
-    assert n.tolist() == [len((t or "").encode()) for t in texts]
-    assert np.allclose(log, [brute((t or "").encode()) for t in texts], atol=1e-4)
-    total = sum(math.exp(model.losses(pa.array(["ab" + chr(b)]))[1][0] - model.losses(pa.array(["ab"]))[1][0]) for b in range(128))
-    assert total <= 1.001
+    for head in (0, 3, 1 << 20):  # all by the sharded table, or some or all by the broadcast
+        got = {r.doc_id: r for r in quality.sums_by_row(work, docs(texts).select("doc_id", "text"), logs, quality.coder(3), ["log"], head).collect()}
+        assert [got[k].n_tokens for k in range(len(texts))] == [len((t or "").encode()) for t in texts]
+        assert np.allclose([got[k].log / quality.SCALE for k in range(len(texts))], [brute((t or "").encode()) for t in texts], atol=1e-4)
+
+
+def test_quality_thresholds_by_brute_force(spark, docs):
+    """Perplexity, toxicity, quantiles and decisions against plain Python over the model's own tables."""
+    rng = random.Random(21)
+    good = [prose(rng.randrange(5, 60), rng) for _ in range(160)]
+    bad = [" ".join(w if k % 7 else "moron" for k, w in enumerate(prose(30, rng).split())) for _ in range(40)]
+    texts = good + bad + ["#%&* " * 40]
+    labels = labels_of(spark, [(k, 1, 0) for k in range(150)] + [(k, 1, 1) for k in range(160, 190)])
+    out = {r.doc_id: r for r in quality.judge_quality(spark, docs(texts), labels).collect()}
+    fold = {r.doc_id: r.f for r in docs(texts).select("doc_id", (F.pmod(F.xxhash64(F.xxhash64("text"), F.lit("fold")), F.lit(1 << 20)) / (1 << 20)).alias("f")).collect()}
+    tables = {}
+    for name, ids in (("trusted", range(150)), ("toxic", range(160, 190))):
+        model = quality.KneserNey(Work(spark, "t"), docs([texts[k] for k in ids if fold[k] < quality.TRAIN_SHARE]).select("text"))
+        tables[name] = ({k: {r.code: r.p for r in model.p[k].collect()} for k in model.p}, {k: {r.context: r.g for r in model.g[k].collect()} for k in model.g})
+
+    def log(name, code):
+        p, g = tables[name]
+        total = 0.0
+        for k in range(quality.ORDER, 0, -1):
+            own = code & ((1 << 9 * k) - 1)
+            if own in p[k]:
+                return total + math.log(p[k][own])
+            total += math.log(g[k].get(own >> 9, 1.0))
+        return total - math.log(256)
+
+    want = {}
+    for k, t in enumerate(texts):
+        code = quality.codes(pa.array([t]), quality.ORDER)[0].tolist()
+        a, b = [log("trusted", c) for c in code], [log("toxic", c) for c in code]
+        want[k] = (math.exp(-sum(a) / len(code)), sum(max(y - x - quality.SLACK, 0) for x, y in zip(a, b)) / math.sqrt(len(code)))
+        assert math.isclose(out[k].perplexity, want[k][0], rel_tol=1e-5) and math.isclose(out[k].toxicity, want[k][1], abs_tol=1e-4)
+    lang = lambda k: "en" if k % 3 else None
+    for code in ("en", None):
+        held = [out[k] for k in range(150) if fold[k] >= quality.TRAIN_SHARE and lang(k) == code]
+        for name in ("perplexity", "toxicity"):
+            values = sorted(r[name] for r in held)
+            exact = values[math.ceil(quality.QUANTILE * len(values)) - 1]
+            got = {r[f"{name}_threshold"] for r in out.values() if r.lang == code}
+            assert len(got) == 1 and exact <= got.pop() <= exact + (1 + exact) * 2 / quality.GRAIN
+    assert all(r.kept == (r.perplexity <= r.perplexity_threshold and r.toxicity <= r.toxicity_threshold) for r in out.values())
+    assert not any(out[k].kept for k in range(160, 201)) and sum(out[k].kept for k in range(160)) >= 130  # about 16 unseen texts set a threshold
 
 
 def labels_of(spark, rows):
