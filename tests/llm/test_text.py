@@ -306,12 +306,12 @@ def test_pseudonyms(spark, docs):
     assert [again[k] for k in range(11)] == PERSONAL
     other = {r.doc_id: r.text for r in pseudonyms.pseudonymise(docs(PERSONAL), "k2").collect()}
     assert other[10] != got[10].text
-    assert pseudonyms.pseudonymise(docs([])).collect() == []
+    assert pseudonyms.pseudonymise(docs([]), "k").collect() == []
 
 
 def test_pseudonyms_of_endless_runs(spark, docs):
     texts = ["x@" + "a." * 50_000, "1" * 100_000, "+1 " * 30_000, "(" * 50_000, "1-" * 50_000, "ab@cd.ef, " * 500, "GB82 " * 20_000]
-    got = {r.doc_id: r for r in pseudonyms.pseudonymise(docs(texts)).collect()}
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(docs(texts), "k").collect()}
     assert [len(got[k].text) for k in range(len(texts))] == [len(t) for t in texts] and got[5].n_email == 500
 
 
