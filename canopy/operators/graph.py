@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopy.functions.text import safe_iri
+from canopy.sources.files import written
 
 NS = "https://example.org/ns#"
 DATA = "https://example.org/id/"
@@ -200,21 +201,29 @@ def require_none(violations: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: " + "; ".join(str(tuple(r)) for r in found))
 
 
-def closure(spark, edges: DataFrame, depth: int = 50) -> DataFrame:
-    """(child, ancestor) over edges(child, parent), by a recursive query."""
-    edges.createOrReplaceTempView("_within")
-    return spark.sql(f"""
-        WITH RECURSIVE up(child, ancestor, depth) MAX RECURSION LEVEL {depth} AS (
-          SELECT child, parent, 1 FROM _within UNION ALL
-          SELECT up.child, w.parent, up.depth + 1 FROM up JOIN _within w ON up.ancestor = w.child)
-        SELECT child, ancestor, min(depth) AS depth FROM up GROUP BY child, ancestor""")
+def closure(spark, edges: DataFrame) -> DataFrame:
+    """(child, ancestor, depth): the shortest way up over edges(child, parent).
+
+    Each round goes one step further from the pairs that were new in the last one and
+    leaves out those already known, so cycles end; a node on a cycle is its own
+    ancestor. Rounds are written, and stop when nothing new is found.
+    """
+    steps = written(edges.select("child", "parent").filter("child IS NOT NULL AND parent IS NOT NULL").distinct(), "edges")
+    known = fresh = steps.select("child", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("depth"))
+    while True:
+        further = fresh.join(steps.select(F.col("child").alias("ancestor"), F.col("parent").alias("_up")), "ancestor").select("child", F.col("_up").alias("ancestor"), (F.col("depth") + 1).alias("depth")).distinct()
+        fresh = written(further.join(known, ["child", "ancestor"], "left_anti"), "closure")
+        if fresh.isEmpty():
+            return known
+        known = known.unionByName(fresh)
 
 
 def upsert_run(spark, live: DataFrame, live_notes: DataFrame, staged: DataFrame, staged_notes: DataFrame, at: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The whole load: gate, classify, close priors and append the delta. Gives quads, annotations and states."""
     require_none(unsafe(staged).select("s", "p", "o"), "unsafe identifiers")
     current = live.filter(F.col("graph").startswith(RUNS))
-    states = classify(signatures(staged, staged_notes), signatures(current, live_notes)).persist()
+    states = classify(signatures(staged, staged_notes), signatures(current, live_notes))
+    states = written(states, "states")
     graph = run_graph(at)
     fresh = states.filter("state IN ('new', 'changed')").select("s")
     anchors = staged.filter(F.col("p") == OF).select("s", F.col("o").alias("anchor"))

@@ -11,7 +11,7 @@ from canopy.plans import bindings as b
 from canopy.plans.relations import plain, relation
 
 _D, _N = g.DATA, g.NS
-_PLACE, _LINK = f"'{_D}place/' || n_nationkey", f"'{_D}auditlink/' || c_custkey"
+_PLACE, _LINK, _FRESH = f"'{_D}place/' || n_nationkey", f"'{_D}auditlink/' || c_custkey", f"'{_D}auditlink/s' || s_suppkey"
 
 
 def _q(text: str) -> str:
@@ -19,15 +19,15 @@ def _q(text: str) -> str:
 
 
 def _live_rows() -> list[tuple]:
-    """(table, condition, graph, s, p, o): nations as places, customers as audit links with one or two periods."""
-    few = "c_custkey < 300"
+    """(table, condition, graph, s, p, o): nations as places, every customer an audit link with one or two periods; a condition gives a link its state."""
+    links = "true"
     out = [
         ("nation", "true", _q("run:load-1"), _PLACE, _q("rdf:type"), _q(_N + "Place")), ("nation", "true", _q("run:load-1"), _PLACE, _q("rdfs:label"), "n_name"),
         ("nation", "true", _q("run:load-1"), _PLACE, _q(_N + "active"), _q("true")), ("nation", "n_nationkey % 5 = 0", _q("run:load-2"), _PLACE, _q(_N + "active"), _q("false")),
-        ("customer", few, _q("run:load-1"), _LINK, _q("rdf:type"), _q(_N + "AuditLink")), ("customer", f"{few} AND c_custkey % 40 <> 1", _q("run:load-1"), _LINK, _q(_N + "coversIntervention"), f"'{_D}intervention/' || c_custkey"),
+        ("customer", links, _q("run:load-1"), _LINK, _q("rdf:type"), _q(_N + "AuditLink")), ("customer", "c_custkey % 40 <> 1", _q("run:load-1"), _LINK, _q(_N + "coversIntervention"), f"'{_D}intervention/' || c_custkey"),
     ]
     for v in (1, 2):
-        own = few if v == 1 else f"{few} AND c_custkey % 3 = 0"
+        own = links if v == 1 else "c_custkey % 3 = 0"
         graph, node = _q(f"run:load-{v}"), f"{_LINK} || '/k{v}'"
         out += [
             ("customer", own, graph, node, _q("rdf:type"), _q(_N + "CoveragePeriod")), ("customer", own, graph, node, _q(g.OF), _LINK), ("customer", own, graph, node, _q(g.FROM), _q(f"2024-0{v}-01")),
@@ -35,9 +35,9 @@ def _live_rows() -> list[tuple]:
         ]
     first = f"{_LINK} || '/k1'"
     return out + [
-        ("customer", f"{few} AND c_custkey % 2 = 0", _q("run:load-1"), first, _q(_N + "noSourceFound"), _q("true")),
-        ("customer", f"{few} AND (c_custkey % 2 = 1 OR c_custkey % 50 = 0)", _q("run:load-1"), first, _q(_N + "confidence"), "CASE WHEN c_custkey % 31 = 0 THEN '1.5' ELSE '0.70' END"),
-        ("customer", f"{few} AND c_custkey % 3 = 0 AND c_custkey % 50 <> 0", _q("run:load-1"), first, _q(g.TO), _q("2024-02-01")),
+        ("customer", "c_custkey % 2 = 0", _q("run:load-1"), first, _q(_N + "noSourceFound"), _q("true")),
+        ("customer", "c_custkey % 2 = 1 OR c_custkey % 50 = 0", _q("run:load-1"), first, _q(_N + "confidence"), "CASE WHEN c_custkey % 31 = 0 THEN '1.5' ELSE '0.70' END"),
+        ("customer", "c_custkey % 3 = 0 AND c_custkey % 50 <> 0", _q("run:load-1"), first, _q(g.TO), _q("2024-02-01")),
     ]
 
 
@@ -50,8 +50,8 @@ NOTES = [
 ]
 STAGED = [
     ("nation", "true", _q("stage"), _PLACE, _q("rdf:type"), _q(_N + "Place")), ("nation", "true", _q("stage"), _PLACE, _q("rdfs:label"), _NAME), ("nation", "true", _q("stage"), _PLACE, _q(_N + "active"), _ACTIVE),
-    ("customer", "c_custkey < 320", _q("stage"), _LINK, _q("rdf:type"), _q(_N + "AuditLink")),
-    ("customer", "c_custkey < 320 AND c_custkey % 40 <> 1", _q("stage"), _LINK, _q(_N + "coversIntervention"), f"'{_D}intervention/' || (CASE WHEN c_custkey % 90 = 89 THEN c_custkey + 1 ELSE c_custkey END)"),
+    ("customer", "true", _q("stage"), _LINK, _q("rdf:type"), _q(_N + "AuditLink")), ("supplier", "true", _q("stage"), _FRESH, _q("rdf:type"), _q(_N + "AuditLink")),
+    ("customer", "c_custkey % 40 <> 1", _q("stage"), _LINK, _q(_N + "coversIntervention"), f"'{_D}intervention/' || (CASE WHEN c_custkey % 90 = 89 THEN c_custkey + 1 ELSE c_custkey END)"),
 ]
 STAGED_NOTES = [
     ("nation", "true", _q("stage"), _PLACE, _q(_N + "active"), _ACTIVE, _q(g.FROM), _q("2024-03-01")), ("nation", "n_nationkey % 2 = 0", _q("stage"), _PLACE, _q("rdfs:label"), _NAME, _q(_N + "confidence"), _q("0.9")),
@@ -99,7 +99,7 @@ def graph_close_annotations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def graph_close_series(spark: SparkSession, sf: str) -> DataFrame:
-    fresh = relation(spark, sf, f"SELECT '{_D}auditlink/' || c_custkey || '/k9' AS s, '{_D}auditlink/' || c_custkey AS anchor, '2024-03-01' AS valid_from FROM {{customer}} WHERE c_custkey < 320")
+    fresh = relation(spark, sf, f"SELECT '{_D}auditlink/' || c_custkey || '/k9' AS s, '{_D}auditlink/' || c_custkey AS anchor, '2024-03-01' AS valid_from FROM {{customer}}")
     return g.close_series(_live(spark, sf)[0], fresh)
 
 
@@ -116,7 +116,7 @@ def within_closure(spark: SparkSession, sf: str) -> DataFrame:
     return g.closure(spark, edges).select("child", "ancestor", F.col("depth").cast("int").alias("depth"))
 
 
-_WITHIN = "SELECT 'n' || n_nationkey AS child, 'r' || n_regionkey AS parent FROM {nation} UNION ALL SELECT 'r' || r_regionkey, 'world' FROM {region} UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM {customer} WHERE c_custkey < 500"
+_WITHIN = "SELECT 'n' || n_nationkey AS child, 'r' || n_regionkey AS parent FROM {nation} UNION ALL SELECT 'r' || r_regionkey, 'world' FROM {region} UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM {customer}"
 
 
 def edge_annotations(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,10 +168,55 @@ def cross_graph(spark: SparkSession, sf: str) -> DataFrame:
     """Run data joined with what the model graph says of its run."""
     q = _live(spark, sf)[0]
     about = q.select("graph").distinct().select(F.col("graph").alias("run"), F.when(F.col("graph").endswith("1"), "2024-01-01").otherwise("2024-02-01").alias("generated"))
-    return q.filter(F.col("p") == g.OF).join(F.broadcast(about), F.col("graph") == F.col("run")).groupBy("generated").agg(F.count("*").alias("n"))
+    return q.filter(F.col("p") == g.OF).join(about, F.col("graph") == F.col("run")).groupBy("generated").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (graph_signatures, graph_classify, graph_delta, graph_close_annotations, graph_close_series, graph_open_violations, shape_violations, within_closure, edge_annotations, named_graphs, place_projection, felling_projection, permit_projection, unsafe_iris, cross_graph)}
+def graph_bindings(spark: SparkSession, sf: str) -> DataFrame:
+    """Periods with the intervention that their link covers and what was seen: three patterns with shared variables."""
+    return g.match(_live(spark, sf)[0], [("?node", g.OF, "?link"), ("?link", _N + "coversIntervention", "?intervention"), ("?node", _N + "evidence", "?seen")]).select("node", "link", "intervention", "seen")
+
+
+def graph_starts(spark: SparkSession, sf: str) -> DataFrame:
+    """When each changed subject's new state begins, out of its staged node or annotation."""
+    changed = graph_classify(spark, sf).filter("state = 'changed'")
+    return g.starts_of(*_staged(spark, sf), changed)
+
+
+def _runs(spark, sf):
+    """Two loads of customers' links, one period each; the second has new periods for a third of them."""
+    rows = [("l", "rdf:type", f"'{_N}AuditLink'"), ("l", _N + "coversIntervention", f"'{_D}intervention/' || c_custkey"), ("k", "rdf:type", f"'{_N}CoveragePeriod'"), ("k", g.OF, "l"), ("k", _N + "noSourceFound", "'true'"), ("k", _N + "evidence", "'none'")]
+
+    def link(v: int) -> DataFrame:
+        each = ", ".join(f"named_struct('graph', 'stage', 's', {s}, 'p', '{p}', 'o', {o})" for s, p, o in [*rows, ("k", g.FROM, f"'2024-0{v}-01'")])
+        key = f"CASE WHEN {v} = 2 AND c_nationkey % 3 = 0 THEN '/k2' ELSE '/k1' END"
+        return relation(spark, sf, f"SELECT inline(array({each})) FROM (SELECT c_custkey, {_LINK} AS l, {_LINK} || {key} AS k FROM {{customer}})")
+
+    none = spark.createDataFrame([], "graph string, s string, p string, o string, ap string, av string")
+    quads, notes = spark.createDataFrame([], "graph string, s string, p string, o string"), none
+    for v in (1, 2):
+        quads, notes, _ = g.upsert_run(spark, quads, notes, link(v), none, F.lit(f"2024-0{v}-01 00:00:00").cast("timestamp"))
+    return quads
+
+
+def graph_load(spark: SparkSession, sf: str) -> DataFrame:
+    """What two whole loads leave behind, gates, closing and provenance included."""
+    return _runs(spark, sf).groupBy("graph", "p").agg(F.count("*").alias("n"), F.count_distinct("s").alias("subjects"))
+
+
+def graph_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """The model stays when all runs are dropped."""
+    model = b.table(spark, sf, "nation").select(F.lit("model").alias("graph"), F.concat(F.lit(_D + "place/"), F.col("n_nationkey").cast("string")).alias("s"), F.lit("rdfs:label").alias("p"), F.col("n_name").alias("o"))
+    return g.drop_runs(_live(spark, sf)[0].unionByName(model).unionByName(spark.range(1).select(F.explode(g.provenance(g.run_graph(F.lit("2024-01-01 00:00:00").cast("timestamp")), F.lit("2024-01-01 00:00:00").cast("timestamp"))).alias("r")).select("r.*")))
+
+
+def run_record(spark: SparkSession, sf: str) -> DataFrame:
+    """A run's name and the rows that record it, one run an order day."""
+    day = F.col("day").cast("timestamp")
+    days = b.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
+    return days.select(F.explode(g.provenance(g.run_graph(day), day)).alias("r")).select("r.*")
+
+
+QUERIES = {f.__name__: f for f in (graph_signatures, graph_classify, graph_delta, graph_close_annotations, graph_close_series, graph_open_violations, shape_violations, within_closure, edge_annotations, named_graphs, place_projection, felling_projection, permit_projection, unsafe_iris, cross_graph, graph_bindings, graph_starts, graph_load, graph_reset, run_record)}
 
 _Q = f"q AS ({_as_sql(LIVE)}), a AS ({_as_sql(NOTES)}), sq AS ({_as_sql(STAGED)}), sa AS ({_as_sql(STAGED_NOTES)})"
 
@@ -211,4 +256,13 @@ ORACLE = {
         UNION ALL SELECT '{_N}claims', '{_D}claim/' || zaak FROM permits UNION ALL SELECT '{_N}locatedAt', '{_D}place/' || area FROM permits) SELECT p, count(*) AS n, min(o) AS first, max(o) AS last FROM q GROUP BY p""",
     "unsafe_iris": f"SELECT id, iri IS NOT NULL AND iri <> '' AND NOT regexp_matches(iri, '[\\x00-\\x20<>\"{{}}|^`\\\\]') AS safe FROM ({plain(_IRIS)})",
     "cross_graph": f"WITH {_Q} SELECT CASE WHEN graph LIKE '%1' THEN '2024-01-01' ELSE '2024-02-01' END AS generated, count(*) AS n FROM q WHERE p = '{g.OF}' GROUP BY 1",
+    "graph_bindings": f"WITH {_Q} SELECT DISTINCT k.s AS node, k.o AS link, i.o AS intervention, e.o AS seen FROM q k JOIN q i ON i.s = k.o AND i.p = '{_N}coversIntervention' JOIN q e ON e.s = k.s AND e.p = '{_N}evidence' WHERE k.p = '{g.OF}'",
+    "graph_starts": f"WITH {_CLASS}, v AS (SELECT s, o AS v FROM sq WHERE p = '{g.FROM}' UNION ALL SELECT s, av FROM sa WHERE ap = '{g.FROM}') SELECT s, min(v) AS valid_from FROM cls JOIN v USING (s) WHERE state = 'changed' GROUP BY s",
+    "graph_load": f"""WITH c AS (SELECT c_custkey AS k, c_nationkey % 3 = 0 AS moved FROM customer), p AS (SELECT unnest(['rdf:type', '{_N}coversIntervention', '{g.OF}', '{g.FROM}', '{_N}noSourceFound', '{_N}evidence']) AS p),
+        r AS (SELECT 'run:load-20240101T000000Z' AS graph, p, count(*) * CASE p WHEN 'rdf:type' THEN 2 ELSE 1 END AS n FROM c, p GROUP BY p UNION ALL SELECT 'run:load-20240101T000000Z', '{g.TO}', count(*) FROM c WHERE moved
+        UNION ALL SELECT 'run:load-20240201T000000Z', p, count(*) FROM c, p WHERE moved AND p <> '{_N}coversIntervention' GROUP BY p UNION ALL SELECT 'run:_provenance', unnest(['rdf:type', 'prov:generatedAtTime']), 2)
+        SELECT graph, p, n::BIGINT AS n, n::BIGINT AS subjects FROM r WHERE n > 0""",
+    "graph_reset": f"SELECT 'model' AS graph, '{_D}place/' || n_nationkey AS s, 'rdfs:label' AS p, n_name AS o FROM nation",
+    "run_record": """WITH d AS (SELECT DISTINCT 'run:load-' || strftime(o_orderdate::DATE, '%Y%m%dT000000Z') AS s, strftime(o_orderdate::DATE, '%Y-%m-%dT00:00:00Z') AS made FROM orders)
+        SELECT 'run:_provenance' AS graph, s, 'rdf:type' AS p, 'prov:Activity' AS o FROM d UNION ALL SELECT 'run:_provenance', s, 'prov:generatedAtTime', made FROM d""",
 }

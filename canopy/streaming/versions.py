@@ -45,10 +45,9 @@ def version_stream(spark: SparkSession, folder: str, store: str, checkpoint: str
         when = batch.agg(F.max("at").alias("at")).first()["at"]
         staged = batch.filter("ap IS NULL").select("graph", "s", "p", "o")
         staged_notes = batch.filter("ap IS NOT NULL").select(notes.columns)
-        quads, after, states = g.upsert_run(spark, live, notes, staged, staged_notes, F.lit(when))
+        quads, after, _ = g.upsert_run(spark, live, notes, staged, staged_notes, F.lit(when))
         quads.write.mode("overwrite").parquet(f"{store}/v{batch_id}/quads")
         after.write.mode("overwrite").parquet(f"{store}/v{batch_id}/notes")
-        states.unpersist()
 
     stream = spark.readStream.schema(STAGED).option("maxFilesPerTrigger", 1).parquet(folder)
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -89,6 +89,13 @@ def test_closure(spark):
     assert sorted((r.child, r.ancestor, r.depth) for r in g.closure(spark, edges).collect()) == [("a", "b", 1), ("a", "c", 2), ("b", "c", 1), ("x", "c", 1)]
 
 
+def test_closure_of_cycles(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "a"), ("x", "b"), ("y", "y"), (None, "a"), ("a", "b")], "child string, parent string")
+    got = {(r.child, r.ancestor): r.depth for r in g.closure(spark, edges).collect()}
+    assert got == {("a", "b"): 1, ("a", "c"): 2, ("a", "a"): 3, ("b", "c"): 1, ("b", "a"): 2, ("b", "b"): 3, ("c", "a"): 1, ("c", "b"): 2, ("c", "c"): 3, ("x", "a"): 1, ("x", "b"): 1, ("x", "c"): 2, ("y", "y"): 1}
+    assert g.closure(spark, edges.limit(0)).collect() == []
+
+
 def test_patterns_starts_and_reset(spark):
     quads = spark.createDataFrame([("m", "a", "knows", "b"), ("m", "b", "knows", "c"), ("m", "b", "age", "3"), ("run:load-1", "c", "knows", "c"), ("run:_provenance", "run:load-1", "x", "y")], Q)
     assert sorted(map(tuple, g.match(quads, [("?x", "knows", "?y"), ("?y", "age", "?n")]).select("x", "y", "n").collect())) == [("a", "b", "3")]
