@@ -21,7 +21,7 @@ def audited_decisions(publications: DataFrame) -> DataFrame:
 
 
 def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key in a total order."""
+    """The first row of each key in a total order; each task hands on one row a key at most."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rn = 1").drop("_rn")
 
 
@@ -31,6 +31,23 @@ def unseen_content(arrived: DataFrame, known: DataFrame) -> DataFrame:
     return hashed.join(known.select("id", "content_sha256").distinct(), ["id", "content_sha256"], "left_anti")
 
 
+def landed_versions(rows: DataFrame, key: str, version: str, content: str, tie: str, bucket: F.Column) -> DataFrame:
+    """By key, how often the content differs from the version before, the latest version and its content.
+
+    bucket must not decrease with the version: versions are compared within buckets,
+    and each bucket's first with the last of the bucket before, so no task orders all
+    versions of a key.
+    """
+    at = F.struct(version, tie)
+    own = rows.withColumn("_b", bucket)
+    prior = F.lag(content).over(Window.partitionBy(key, "_b").orderBy(version, tie))
+    changed = own.withColumn("_prior", prior).withColumn("_new", F.col("_prior").isNotNull() & (F.col("_prior") != F.col(content)))
+    buckets = changed.groupBy(key, "_b").agg(F.count_if("_new").alias("n"), F.min_by(content, at).alias("first"), F.max_by(content, at).alias("last"), F.max(version).alias("latest"))
+    before = F.lag("last").over(Window.partitionBy(key).orderBy("_b"))  # a row a bucket
+    edges = buckets.withColumn("before", before).withColumn("n", F.col("n") + F.when(F.col("before").isNull() | (F.col("before") != F.col("first")), 1).otherwise(0))
+    return edges.groupBy(key).agg(F.sum("n").alias("landed"), F.max("latest").alias("latest"), F.max_by("last", "_b").alias(content))
+
+
 def ordered_union(buckets: list[DataFrame], key: str, order: str) -> DataFrame:
     """Rows of several buckets, each key once, at its place in the earliest bucket."""
     whole = None

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from canopy.functions.dates import valid_at
 from canopy.functions.spatial import bounds, cell, contains
 from canopy.functions.text import trigrams
+from canopy.sources.files import written
 
 SIMILAR = 0.55
 CONFIDENCE = {"address": 90, "postcode": 70, "buurt": 50}
@@ -39,16 +40,29 @@ def _pick(joined: DataFrame, tier: str, similar=None) -> DataFrame:
     return best.select("id", F.lit(tier).alias("via"), F.col("b.ident").alias("ident"), F.col("b.ax").alias("ax"), F.col("b.ay").alias("ay"), (~F.col("b.v")).alias("valid"))
 
 
+def _prefixed(names: DataFrame, name: str, frequency: DataFrame, least: float) -> DataFrame:
+    """(name, grams, prefix): a name's trigrams, rarest first, and as many of them as must hold one of any name's so similar."""
+    grams = names.select(name).distinct().select(name, F.explode(trigrams(F.col(name))).alias("g")).join(frequency, "g")
+    whole = grams.groupBy(name).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "g"))), lambda x: x["g"]).alias("grams"))
+    size = F.size("grams")
+    return whole.withColumn("prefix", F.slice("grams", F.lit(1), (size - F.ceil(size * least - 1e-9) + 1).cast("int")))
+
+
 def similar_streets(names: DataFrame, streets: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(wanted, naam, sim) for distinct names over the threshold, by shared trigrams and set sizes.
 
-    An inverted index: only names that share a trigram meet, and no text is compared twice.
+    Prefix filtering: of names so similar, the rarest trigrams of each, as many as the
+    threshold leaves open, share one. Only those are indexed, so a trigram that is in
+    every name brings nobody together; a pair is compared at its first shared one.
     """
-    a = names.select("wanted").distinct().withColumn("_g", trigrams(F.col("wanted"))).withColumn("_n", F.size("_g"))
-    b = streets.select("naam").distinct().withColumn("_h", trigrams(F.col("naam"))).withColumn("_m", F.size("_h"))
-    shared = a.select("wanted", "_n", F.explode("_g").alias("g")).join(b.select("naam", "_m", F.explode("_h").alias("g")), "g")
-    counted = shared.groupBy("wanted", "naam").agg(F.count("*").alias("n"), F.first("_n").alias("_n"), F.first("_m").alias("_m"))
-    return counted.withColumn("sim", F.col("n") / (F.col("_n") + F.col("_m") - F.col("n"))).filter(F.col("sim") > least).select("wanted", "naam", "sim")
+    both = names.select(F.col("wanted").alias("t")).distinct().unionAll(streets.select(F.col("naam").alias("t")).distinct())
+    frequency = written(both.select(F.explode(trigrams(F.col("t"))).alias("g")).groupBy("g").agg(F.count("*").alias("n")), "trigrams")
+    a = _prefixed(names, "wanted", frequency, least).select("wanted", F.col("grams").alias("_g"), F.col("prefix").alias("_p"), F.explode("prefix").alias("g"))
+    b = _prefixed(streets, "naam", frequency, least).select("naam", F.col("grams").alias("_h"), F.col("prefix").alias("_q"), F.explode("prefix").alias("g"))
+    n, m = F.size("_g"), F.size("_h")
+    met = a.join(b, "g").filter((m >= n * least) & (n >= m * least)).filter(F.element_at(F.array_intersect("_p", "_q"), 1) == F.col("g"))
+    shared = F.size(F.array_intersect("_g", "_h"))
+    return met.select("wanted", "naam", (shared / (n + m - shared)).alias("sim")).filter(F.col("sim") > least)
 
 
 def areas_of(points: DataFrame, areas: DataFrame, size: float = CELL) -> DataFrame:
@@ -64,16 +78,17 @@ def areas_of(points: DataFrame, areas: DataFrame, size: float = CELL) -> DataFra
 def resolve(requests: DataFrame, streets: DataFrame, numbers: DataFrame, objects: DataFrame, areas: DataFrame) -> DataFrame:
     """A row per request: level, confidence in hundredths, identifier, point, area, time match and caveats.
 
-    Each tier sees only what the finer ones missed, so the fuzzy one stays small.
+    Each tier sees only what the finer ones missed, so the fuzzy one stays small;
+    what several tiers read is written once.
     """
-    found = addresses(streets, numbers, objects)
+    found = written(addresses(streets, numbers, objects), "addresses")
     by_code = requests.filter("postcode IS NOT NULL AND huisnummer IS NOT NULL").join(found.drop("street"), ["postcode", "huisnummer"])
-    one = _pick(by_code, "postcode_number")
+    one = written(_pick(by_code, "postcode_number"), "by-code")
     left = requests.join(one.select("id"), "id", "left_anti").filter("street IS NOT NULL AND huisnummer IS NOT NULL")
     named = left.select("id", "huisnummer", "at", F.lower("street").alias("wanted"))
     lower = found.select("ident", "huisnummer", "begin", "end", "ax", "ay", F.lower("naam").alias("naam"))
-    two = _pick(named.join(lower, (named.wanted == lower.naam) & (named.huisnummer == lower.huisnummer)).drop(lower.huisnummer), "street")
-    rest = named.join(two.select("id"), "id", "left_anti")
+    two = written(_pick(named.join(lower, (named.wanted == lower.naam) & (named.huisnummer == lower.huisnummer)).drop(lower.huisnummer), "street"), "by-street")
+    rest = written(named.join(two.select("id"), "id", "left_anti"), "misspelt")
     like = similar_streets(rest, lower)
     three = _pick(rest.join(like, "wanted").join(lower, ["naam", "huisnummer"]), "fuzzy", F.col("sim"))
     hits = one.unionByName(two).unionByName(three)

@@ -150,3 +150,36 @@ def test_unique_interventions(spark):
     rows = spark.createDataFrame([("a", date(2022, 2, 1)), ("a", date(2022, 1, 1)), ("", date(2022, 1, 1)), (None, None)], "iri string, pub date")
     unique, skipped = dedup.unique_interventions(rows)
     assert [tuple(r) for r in unique.collect()] == [("a", date(2022, 1, 1))] and skipped.first().skipped == 2
+
+
+def test_similar_names_by_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    words = ["straat", "van", "laan", "kade", "plein", "noord", "zuid", "eik", "els"]
+    names = [" ".join(rng.choice(words) + rng.choice(["", "", "s", "e"]) for _ in range(rng.randrange(1, 4))) for _ in range(60)] + ["", "straat", "x"]
+    streets = [n[:-1] + rng.choice("abc") if rng.random() < 0.5 else n for n in names]
+
+    def grams(t):
+        import re
+
+        return {f"  {w} "[i : i + 3] for w in re.split(r"[^\w]+", t.lower()) if w for i in range(len(w) + 1)}
+
+    for least in (0.3, 0.55, 0.9):
+        want = {(a, b): len(grams(a) & grams(b)) / len(grams(a) | grams(b)) for a in set(names) for b in set(streets) if grams(a) | grams(b)}
+        want = {k: v for k, v in want.items() if v > least}
+        got = resolve.similar_streets(spark.createDataFrame([(n,) for n in [*names, None]], "wanted string"), spark.createDataFrame([(n,) for n in [*streets, None]], "naam string"), least).collect()
+        assert len(got) == len(want) and all(abs(want[(r.wanted, r.naam)] - r.sim) < 1e-9 for r in got)
+
+
+def test_nearest_of(spark):
+    hits = spark.createDataFrame([(1, "b", 0.0, 3.0, True), (1, "a", 0.0, 3.0, True), (1, "c", 0.0, 1.0, False), (2, "z", None, None, True)], "id int, ident string, ax double, ay double, valid boolean").withColumn("x", F.lit(0.0)).withColumn("y", F.lit(0.0))
+    assert sorted((r.id, r.ident, r.dist, r.valid) for r in resolve.nearest_of(hits, "id", "x", "y").collect()) == [(1, "a", 3.0, True), (2, "z", None, True)]
+
+
+def test_landed_versions_over_buckets(spark):
+    rows = [("a", f"{d}{k}", "xxyyxzzx"[(d * 3 + k) % 8], k) for d in range(4) for k in range(5)] + [("b", "00", "x", 0)]
+    df = spark.createDataFrame(rows, "name string, version string, sha string, tie int")
+    got = {r.name: (r.landed, r.latest, r.sha) for r in dedup.landed_versions(df, "name", "version", "sha", "tie", F.substring("version", 1, 1)).collect()}
+    seen = [sha for _, sha in sorted((v, s) for n, v, s, _ in rows if n == "a")]
+    assert got == {"a": (1 + sum(x != y for x, y in zip(seen, seen[1:])), "34", seen[-1]), "b": (1, "00", "x")}
