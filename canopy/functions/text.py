@@ -22,6 +22,13 @@ COUNTLESS = ["diverse", "meerdere", "een aantal", "enkele", "verschillende", "aa
 NOUN = r"(?:bo{1,2}m|bomen|houtopstand(?:en)?)"
 POSTCODE = r"\d{4}\s?[A-Z]{2}"
 REFERENCE_KEY = "OVERHEIDop.referentienummer"
+# Fixed patterns.
+REFERENCE_NUMBER = r"(?i)\bOLO\s*\d+"
+TREE_NUMBER = r"(?i)boomnummer\s*\d+"
+CLAUSE_END = r"\s+en\s+|[,;]"
+WORD = r"[A-Za-zéï'-]+"
+HOUSE_NUMBER = r"(\d+)\s*[-–]?\s*([0-9A-Za-z]{1,4})?\s*$"
+TITLE_POSTCODE = r"\b(\d{4})\s?([A-Za-z]{2})\b"
 
 
 def _blank_to_null(c: Column) -> Column:
@@ -39,20 +46,34 @@ def _try_element(table: dict, value: Column) -> Column:
 # XML ---------------------------------------------------------------------
 
 
+_ROOT = "canopy-root"
+
+
+def _rooted(xml: Column) -> Column:
+    """A record in a root of its own, without a byte order mark and an XML declaration."""
+    return F.concat(F.lit(f"<{_ROOT}>"), F.regexp_replace(xml, r"^\uFEFF?\s*<\?xml[^>]*\?>|^\uFEFF", ""), F.lit(f"</{_ROOT}>"))
+
+
+def well_formed(xml: Column) -> Column:
+    """Whether a record can be parsed; false for null and for blank text."""
+    bad = F.from_xml(_rooted(xml), "_bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})["_bad"]
+    return xml.isNotNull() & (F.trim(xml) != "") & ~xml.contains(_ROOT) & bad.isNull()
+
+
 def xml_text(xml: Column, name: str) -> Column:
-    """The first non-empty text of an element with this local name, at any depth, under any prefix."""
-    values = F.transform(F.xpath(F.concat(F.lit("<root>"), xml, F.lit("</root>")), F.lit(f'//*[local-name()="{name}"]/text()')), lambda v: F.trim(v))
-    return F.get(F.filter(values, lambda v: v != ""), F.lit(0))
+    """The first non-empty text of an element with this local name, at any depth, under any prefix; null if the record is malformed."""
+    values = F.transform(F.xpath(_rooted(xml), F.lit(f'//*[local-name()="{name}"]/text()')), lambda v: F.trim(v))
+    return F.when(well_formed(xml), F.get(F.filter(values, lambda v: v != ""), F.lit(0)))
 
 
 def xml_attribute(xml: Column, key: str = REFERENCE_KEY) -> Column:
-    """The content of the metadata entry with this name."""
-    found = F.xpath(F.concat(F.lit("<root>"), F.regexp_replace(xml, r"<\?xml[^>]*\?>", ""), F.lit("</root>")), F.lit(f'//*[local-name()="metadata"][@name="{key}"]/@content'))
-    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+    """The content of the metadata entry with this name; empty if there is none or the record is malformed."""
+    found = F.xpath(_rooted(xml), F.lit(f'//*[local-name()="metadata"][@name="{key}"]/@content'))
+    return F.coalesce(F.when(well_formed(xml), F.get(found, F.lit(0))), F.lit(""))
 
 
 def sru_total(xml: Column) -> Column:
-    return F.xpath_int(xml, F.lit('//*[local-name()="numberOfRecords"]'))
+    return F.when(well_formed(xml), F.xpath_int(_rooted(xml), F.lit('//*[local-name()="numberOfRecords"]')))
 
 
 def strip_xml(xml: Column) -> Column:
@@ -88,14 +109,14 @@ def title_address(title: Column) -> Column:
 def title_place(title: Column) -> Column:
     """struct(marker, street, huisnummer, suffix, postcode) from "<activity> <marker> <street> <number[-suffix]> <postcode>"."""
     t = F.trim(F.regexp_replace(F.coalesce(title, F.lit("")), r"\s+", " "))
-    code = r"\b(\d{4})\s?([A-Za-z]{2})\b"
+    code = TITLE_POSTCODE
     has = t.rlike(code)
     head = F.when(has, F.trim(F.regexp_extract(t, f"^(.*?){code}", 1))).otherwise(t)
     low = F.lower(head)
     marker = reduce(lambda other, m: F.when(F.instr(low, m) > 0, F.lit(m)).otherwise(other), reversed(MARKERS), F.lit(None).cast("string"))
     after = lambda m: F.trim(F.substring(head, F.instr(low, m) + len(m), F.length(head)))
     rest = reduce(lambda other, m: F.when(marker == m, after(m)).otherwise(other), MARKERS, F.when(F.instr(low, "(kap)") > 0, after("(kap)")).otherwise(head))
-    ending = r"(\d+)\s*[-–]?\s*([0-9A-Za-z]{1,4})?\s*$"
+    ending = HOUSE_NUMBER
     number = F.regexp_extract(rest, ending, 1)
     street = F.when(rest.rlike(ending), F.trim(F.regexp_extract(rest, f"^(.*?){ending}", 1))).otherwise(rest)
     return F.struct(
@@ -130,9 +151,9 @@ def activities(text: Column) -> Column:
     Clauses are split on "en", commas and semicolons; a clause without a verb
     goes on with the last one, which a fold over the clauses carries along.
     """
-    clean = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?i)\bOLO\s*\d+", " "), r"(?i)boomnummer\s*\d+", " ")
+    clean = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), REFERENCE_NUMBER, " "), TREE_NUMBER, " ")
     clean = F.trim(F.regexp_replace(clean, r"\s+", " "))
-    clauses = F.filter(F.transform(F.split(clean, r"\s+en\s+|[,;]"), lambda c: F.trim(c)), lambda c: c != "")
+    clauses = F.filter(F.transform(F.split(clean, CLAUSE_END), lambda c: F.trim(c)), lambda c: c != "")
 
     def verb_of(word: Column) -> Column:
         low = F.lower(word)
@@ -140,7 +161,7 @@ def activities(text: Column) -> Column:
 
     def read(clause: Column) -> Column:
         low = F.lower(clause)
-        verbs = F.array_compact(F.transform(F.regexp_extract_all(clause, F.lit(r"[A-Za-zéï'-]+"), F.lit(0)), verb_of))
+        verbs = F.array_compact(F.transform(F.regexp_extract_all(clause, F.lit(WORD), F.lit(0)), verb_of))
         countless = low.rlike("(?:" + "|".join(COUNTLESS) + r")\s+" + NOUN)
         token = F.regexp_replace(F.regexp_extract(low, r"(\S+)\s+" + NOUN, 1), r"^[.,()]+|[.,()]+$", "")
         digits, word = F.when(token.rlike(r"^\d+$"), token.try_cast("int")), _try_element(SPELLED, token)

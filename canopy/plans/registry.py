@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["audit_queries", "place_queries", "graph_queries", "probe_queries", "stream_queries"]
+MODULES = ["audit_queries", "place_queries", "graph_queries", "probe_queries", "stream_queries", "source_queries"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}

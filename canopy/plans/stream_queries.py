@@ -2,30 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.plans.bindings import table
+from canopy.sources.files import own_dir
 from canopy.streaming import harvest
 
 
-def _folder(spark: SparkSession) -> str:
-    """A folder of one run, under the shared checkpoint folder where there is one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return tempfile.mkdtemp(prefix="canopy-stream-", dir=base.removeprefix("file://") if base and base.startswith("file://") else None)
-
-
 def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     """The latest event of each user, by a stream that upserts its micro-batches."""
-    at = _folder(spark)
+    at = own_dir(spark, "stream")
     got = harvest.harvest_stream(spark, sf, table(spark, sf, "events").schema, f"{at}/target", f"{at}/checkpoint", ["user_id"], "ts", "events.parquet")
     return got.select("user_id", "ts", "event_id", "event_type")
 
 
 def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
-    at = _folder(spark)
+    at = own_dir(spark, "stream")
     return harvest.windowed_counts(spark, sf, table(spark, sf, "events").schema, "events.parquet", f"{at}/checkpoint", f"{at}/out").withColumn("most", F.round("most", 6))
 
 

@@ -1,92 +1,125 @@
 """Landed artifacts with provenance, in one or several versions.
 
-Layout: <root>/<name>/<version>/data and an append-only provenance table in
-<root>/_provenance. Bytes are small driver-side payloads as fetched; what is
-done with them afterwards is distributed.
+Layout: <root>/<name>/data or <root>/<name>/<version>, and an append-only
+provenance log beside it, on any store that Spark can reach. Bytes are small
+driver-side payloads as fetched; what is done with them afterwards is
+distributed.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import posixpath
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
-from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canopy.functions.text import publication_id, well_formed
+from canopy.sources.files import Files
+
 PROVENANCE = "source_url string, fetched_at timestamp, byte_size long, content_sha256 string, version string"
 VERSION = "%Y%m%dT%H%M%SZ"
+_NOT_BLANK = re.compile(r"[^ \t\r\n]").search
 
 
 class Landing:
-    def __init__(self, root: str, clock: Callable[[], datetime] = lambda: datetime.now(UTC)):
-        self.root, self.clock = Path(root), clock
+    """Artifacts under a root that Spark can reach."""
+
+    def __init__(self, root: str, clock: Callable[[], datetime] = lambda: datetime.now(UTC), spark: SparkSession | None = None):
+        self.root, self.clock, self.spark = root.rstrip("/"), clock, spark
+
+    @property
+    def files(self) -> Files:
+        return Files(self.spark)
 
-    def _inside(self, name: str) -> Path:
-        path = (self.root / name).resolve()
-        if not name or self.root.resolve() not in path.parents:
+    def _inside(self, name: str) -> str:
+        path = posixpath.normpath(f"/{name}")
+        if not name or name.startswith("/") or path == "/" or ".." in name.split("/"):
             raise ValueError(f"artifact name leaves the landing folder: {name!r}")
-        return path
+        return self.root + path
 
-    def _record(self, folder: Path, url: str, content: bytes, version: str) -> dict:
+    def _record(self, folder: str, url: str, content: bytes, version: str) -> dict:
         row = {"source_url": url, "fetched_at": self.clock().isoformat(), "byte_size": len(content), "content_sha256": hashlib.sha256(content).hexdigest(), "version": version}
-        with (folder / "provenance.jsonl").open("a") as log:
-            log.write(json.dumps(row) + "\n")
+        log = f"{folder}/provenance.jsonl"
+        self.files.write(log, (self.files.read(log) or b"") + (json.dumps(row) + "\n").encode())
         return row
 
     def land(self, name: str, url: str, content: bytes) -> dict:
         """Overwrites the bytes; provenance is appended."""
         folder = self._inside(name)
-        folder.mkdir(parents=True, exist_ok=True)
-        (folder / "data").write_bytes(content)
+        self.files.write(f"{folder}/data", content)
         return self._record(folder, url, content, "")
 
     def land_version(self, name: str, url: str, content: bytes) -> dict | None:
         """A new version, unless the content is that of the latest one; an older version's content lands anew."""
         folder = self._inside(name)
         latest = self.latest_version(name)
-        if latest is not None and hashlib.sha256((folder / latest).read_bytes()).digest() == hashlib.sha256(content).digest():
+        if latest is not None and self.files.read(f"{folder}/{latest}") == content:
             return None
-        folder.mkdir(parents=True, exist_ok=True)
         version = self.clock().strftime(VERSION)
-        (folder / version).write_bytes(content)
+        self.files.write(f"{folder}/{version}", content)
         return self._record(folder, url, content, version)
 
     def latest_version(self, name: str) -> str | None:
-        folder = self._inside(name)
-        names = [p.name for p in folder.iterdir() if not p.name.startswith(".") and p.name != "provenance.jsonl"] if folder.exists() else []
-        return max(names, default=None)
+        return max((n for n in self.files.names(self._inside(name)) if n != "provenance.jsonl"), default=None)
 
     def provenance(self, spark: SparkSession, name: str) -> DataFrame:
         """Oldest first; a missing log is empty."""
-        log = self._inside(name) / "provenance.jsonl"
-        if not log.exists():
+        log = self._inside(name) + "/provenance.jsonl"
+        if not self.files.exists(log):
             return spark.createDataFrame([], PROVENANCE)
-        rows = spark.read.schema(PROVENANCE).json(str(log))
+        rows = spark.read.schema(PROVENANCE).json(log)
         return rows.withColumn("seq", F.monotonically_increasing_id()).orderBy("seq").drop("seq")
 
 
 def read_records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(id, record, metadata) of landed XML with optional sidecars, and the names of files that aren't records."""
+    """(id, record, metadata) of landed XML with optional sidecars, and what was skipped: (id, why), a strange name or a malformed record.
+
+    A malformed record never fails the read; a missing folder does.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(folder).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.decode("content", "UTF-8").alias("xml"))
     files = files.filter(~F.col("name").startswith("_"))
     side = files.filter(F.col("name").endswith(".metadata.xml")).select(F.regexp_replace("name", r"\.metadata\.xml$", "").alias("id"), F.col("xml").alias("metadata"))
     main = files.filter(~F.col("name").endswith(".metadata.xml")).select(F.regexp_replace("name", r"\.xml$", "").alias("id"), F.col("xml").alias("record"))
-    good = main.filter(F.col("id").rlike(r"^gmb-\d{4}-\d+$"))
-    return good.join(side, "id", "left"), main.join(good.select("id"), "id", "left_anti").select("id")
+    why = F.when(~publication_id(F.col("id")), "name").when(~well_formed(F.col("record")), "malformed")
+    judged = main.withColumn("why", why)
+    good = judged.filter("why IS NULL").drop("why")
+    empty = [(n.removesuffix(".xml"), "malformed") for n in Files(spark).empty(folder) if n.endswith(".xml") and not n.startswith("_") and not n.endswith(".metadata.xml")]
+    skipped = judged.filter("why IS NOT NULL").select("id", "why").unionByName(spark.createDataFrame(empty, "id string, why string"))
+    return good.join(side, "id", "left"), skipped
+
+
+def _json_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    decode = json.JSONDecoder().raw_decode
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            at, found = 0, []
+            while (start := _NOT_BLANK(text, at)) is not None:
+                try:
+                    _, at = decode(text, start.start())
+                except json.JSONDecodeError as e:
+                    raise ValueError(f"not JSON after {len(found)} values, at character {start.start()}: {e}") from e
+                found.append(text[start.start() : at])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["value"])
+
+
+def json_values(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the top-level JSON values of files one after the other, whatever the lines; each as it was written."""
+    return spark.read.text(path, wholetext=True).select("value").mapInArrow(_json_values, "value string")
 
 
 def read_envelopes(spark: SparkSession, path: str, key: str, fields: dict[str, str]) -> DataFrame:
     """Rows of paged {"_embedded": {key: [...]}} values or of {"features": [...]}; any other envelope fails.
 
-    Values come one a line. Fields keep their digits as strings where the schema says so.
+    Values follow one another, on one line or over several. Fields keep their digits as strings where the schema says so.
     """
     schema = f"_embedded map<string, array<struct<{', '.join(f'`{k}`: {t}' for k, t in fields.items())}>>>, features array<struct<properties: struct<{', '.join(f'`{k}`: {t}' for k, t in fields.items())}>, geometry: string>>"
-    lines = spark.read.text(path).filter("trim(value) <> ''")
-    parsed = lines.select(F.from_json("value", schema).alias("j"))
+    parsed = json_values(spark, path).select(F.from_json("value", schema).alias("j"))
     known = F.col("j.features").isNotNull() | F.element_at("j._embedded", key).isNotNull()
     checked = parsed.withColumn("j", F.when(known, F.col("j")).otherwise(F.raise_error(F.lit(f"unknown envelope: neither {key} nor features")).cast(parsed.schema["j"].dataType)))
     paged = checked.select(F.explode(F.element_at("j._embedded", key)).alias("r")).select(*[F.col(f"r.{k}").alias(k) for k in fields], F.lit(None).cast("string").alias("geometry"))
@@ -134,12 +167,14 @@ def read_polygons(spark: SparkSession, path: str, fields: dict[str, str], srid:
 
 def stream_to_file(blocks, path: str) -> tuple[int, str]:
     """A body too large to hold, block by block; the file appears whole or not at all."""
-    digest, size, part = hashlib.sha256(), 0, Path(f"{path}.part")
-    part.parent.mkdir(parents=True, exist_ok=True)
-    with part.open("wb") as f:
+    digest, size = hashlib.sha256(), 0
+
+    def passing():
+        nonlocal size
         for block in blocks:
-            f.write(block)
             digest.update(block)
             size += len(block)
-    part.rename(path)
+            yield block
+
+    Files().write(path, passing())
     return size, digest.hexdigest()

@@ -60,6 +60,18 @@ def sru(get: Get, endpoint: str, query: str, page: int = PAGE, pace: float = PAC
         sleep(pace)
 
 
+def sru_span(get: Get, endpoint: str, query: str, start: int, end: int, page: int = PAGE, pace: float = PACE, sleep=time.sleep) -> Iterator[str]:
+    """Records start to end - 1, on by as many as came."""
+    while start < end:
+        _, records = sru_page(with_retries(get, sru_url(endpoint, query, start, min(page, end - start)), sleep=sleep))
+        yield from records[: end - start]
+        start += len(records)
+        if not records:
+            return
+        if start < end:
+            sleep(pace)
+
+
 def sru_url(endpoint: str, query: str, start: int, page: int = PAGE) -> str:
     return f"{endpoint}?{urlencode({'version': '2.0', 'operation': 'searchRetrieve', 'startRecord': start, 'maximumRecords': page, 'query': query})}"
 

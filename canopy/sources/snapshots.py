@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import shutil
@@ -14,51 +13,53 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canopy.sources.files import Files
+
 FORMAT, TOOL = 1, "canopy"
 
 
-def _sum(path: Path) -> tuple[int, str]:
-    digest = hashlib.sha256()
-    with path.open("rb") as f:
-        while block := f.read(1 << 20):
-            digest.update(block)
-    return path.stat().st_size, digest.hexdigest()
+def _sums(spark: SparkSession, folder: str) -> dict[str, tuple[int, str]]:
+    """Size and checksum of each data file of a table, worked out where Spark reads them."""
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length", F.sha2("content", 256).alias("sha"))
+    return {r["name"]: (r["length"], r["sha"]) for r in rows.collect()}  # a row a file
 
 
 def export(tables: dict[str, DataFrame], folder: str, skip: tuple[str, ...] = ()) -> dict:
     """Writes each table that isn't skipped, then the manifest."""
-    root = Path(folder)
     artifacts = []
     for name, df in sorted(tables.items()):
         if name in skip:
             continue
-        df.write.mode("overwrite").parquet(str(root / name))
-        for f in sorted((root / name).glob("*.parquet")):
-            size, sha = _sum(f)
-            artifacts.append({"filename": str(f.relative_to(root)), "table": name, "format": "parquet", "size": size, "sha256": sha})
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        for file, (size, sha) in sorted(_sums(df.sparkSession, f"{folder}/{name}").items()):
+            artifacts.append({"filename": f"{name}/{file}", "table": name, "format": "parquet", "size": size, "sha256": sha})
     manifest = {"format_version": FORMAT, "created_at": datetime.now(UTC).isoformat(), "tool_version": TOOL, "skipped": list(skip), "artifacts": artifacts}
-    (root / "manifest.json").write_text(json.dumps(manifest, indent=1))
+    Files().write(f"{folder}/manifest.json", json.dumps(manifest, indent=1).encode())
     return manifest
 
 
-def verify(folder: str) -> dict:
+def verify(spark: SparkSession, folder: str) -> dict:
     """The manifest, once every file's size and checksum agree with it."""
-    root = Path(folder)
-    manifest = json.loads((root / "manifest.json").read_text())
-    if manifest["format_version"] != FORMAT:
-        raise ValueError(f"unknown snapshot format {manifest['format_version']}")
+    manifest = json.loads(Files(spark).read(f"{folder}/manifest.json") or b"{}")
+    if manifest.get("format_version") != FORMAT:
+        raise ValueError(f"unknown snapshot format {manifest.get('format_version')}")
     for a in manifest["artifacts"]:
-        path = (root / a["filename"]).resolve()
-        if root.resolve() not in path.parents:
+        if a["filename"].split("/") != [a["table"], a["filename"].rpartition("/")[2]] or a["table"] in ("", ".", ".."):
             raise ValueError(f"artifact leaves the snapshot: {a['filename']}")
-        if not path.exists() or _sum(path) != (a["size"], a["sha256"]):
-            raise ValueError(f"size or checksum differs: {a['filename']}")
+    for name in sorted({a["table"] for a in manifest["artifacts"]}):
+        try:
+            found = _sums(spark, f"{folder}/{name}")
+        except Exception as e:  # a store with checksums of its own may refuse to read a damaged file
+            raise ValueError(f"size or checksum differs: {name} can't be read") from e
+        for a in manifest["artifacts"]:
+            if a["table"] == name and found.get(a["filename"].rpartition("/")[2]) != (a["size"], a["sha256"]):
+                raise ValueError(f"size or checksum differs: {a['filename']}")
     return manifest
 
 
 def restore(spark: SparkSession, folder: str, target: str) -> list[str]:
     """Replaces only the tables the snapshot names; nothing is touched before all of it is verified."""
-    names = sorted({a["table"] for a in verify(folder)["artifacts"]})
+    names = sorted({a["table"] for a in verify(spark, folder)["artifacts"]})
     for n in names:
         spark.read.parquet(f"{folder}/{n}").write.mode("overwrite").parquet(f"{target}/{n}")
     return names
@@ -153,21 +154,15 @@ def vocabulary(names: DataFrame, scheme: str) -> DataFrame:
     return grouped.select(F.concat(F.lit(scheme + "/"), slug(F.col("genus"))).alias("concept"), F.coalesce("dutch", "genus").alias("label"), "notations", F.when(F.col("dutch").isNotNull(), F.col("genus")).alias("alt"))
 
 
-
 def commit_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> None:
     """Several tables at once: all are written beside the old ones before any is swapped in."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/_next/{name}")
     for name in tables:
-        old, new = fs_path(f"{root}/{name}"), fs_path(f"{root}/_next/{name}")
-        fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(old, True)
-        fs.rename(new, old)
+        Files(spark).move(f"{root}/_next/{name}", f"{root}/{name}")
 
 
 def reset_tables(spark: SparkSession, names: list[str], root: str) -> None:
     """Drops target tables; staging and other tables stay."""
     for name in names:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        Files(spark).delete(f"{root}/{name}")

@@ -8,30 +8,26 @@ is written, so a failed batch is read again.
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.functions.dates import FLOOR, OVERLAP_DAYS, since
+from canopy.sources.files import Files
 
 
 class Cursor:
-    """A high-water mark in a one-row JSON file; missing or empty means the floor."""
+    """A high-water mark in a one-row JSON file on any store; missing or empty means the floor."""
 
     def __init__(self, path: str, floor: str = FLOOR):
-        self.path, self.floor = Path(path), floor
+        self.path, self.floor = path, floor
 
     def read(self) -> str:
-        if not self.path.exists() or not self.path.read_text().strip():
-            return self.floor
-        return json.loads(self.path.read_text())["high_water_mark"]
+        content = (Files().read(self.path) or b"").strip()
+        return json.loads(content)["high_water_mark"] if content else self.floor
 
     def write(self, mark: str) -> None:
-        part = self.path.with_suffix(".part")
-        part.parent.mkdir(parents=True, exist_ok=True)
-        part.write_text(json.dumps({"high_water_mark": mark}))
-        part.rename(self.path)
+        Files().write(self.path, json.dumps({"high_water_mark": mark}).encode())
 
     def since(self, spark: SparkSession) -> str:
         """Where the next harvest starts."""
@@ -51,19 +47,20 @@ def harvest_stream(spark: SparkSession, folder: str, schema, target: str, checkp
     Each micro-batch writes a whole new version of the target next to the old
     one; the version number is the batch's, so a repeated batch overwrites its own.
     """
-    root = Path(target.removeprefix("file://"))
+    files = Files(spark)
 
-    def current() -> str | None:
-        done = sorted((p for p in root.glob("v*/_SUCCESS")), key=lambda p: int(p.parent.name[1:])) if root.exists() else []
-        return str(done[-1].parent) if done else None
+    def current(before: int | None = None) -> str | None:
+        """The latest finished version, or the latest one before a batch."""
+        done = [int(n[1:]) for n in files.names(target) if files.exists(f"{target}/{n}/_SUCCESS")]
+        done = [v for v in done if before is None or v < before]
+        return f"{target}/v{max(done)}" if done else None
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        own = f"v{batch_id}"
-        prior = [p for p in [current()] if p and Path(p).name != own]
-        rows = batch if not prior else spark.read.parquet(prior[0]).select(batch.columns).unionByName(batch)
+        prior = current(batch_id)
+        rows = batch if prior is None else spark.read.parquet(prior).select(batch.columns).unionByName(batch)
         others = [c for c in batch.columns if c not in keys]
         latest = rows.groupBy(*keys).agg(F.max(F.struct(order, *[c for c in others if c != order])).alias("_r"))
-        latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(batch.columns).write.mode("overwrite").parquet(str(root / own))
+        latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(batch.columns).write.mode("overwrite").parquet(f"{target}/v{batch_id}")
 
     stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

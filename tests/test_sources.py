@@ -8,7 +8,8 @@ from datetime import UTC, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from canopy.sources import landing, pagers, snapshots
+from canopy.functions import text
+from canopy.sources import landing, pagers, pages, snapshots
 from canopy.streaming import harvest
 
 
@@ -201,3 +202,38 @@ def test_registry_xml(spark, tmp_path):
     (tmp_path / "n.xml").write_text(f'<x xmlns:o="u">{rows}</x>')
     got = landing.read_bag(spark, str(tmp_path / "n.xml"), "Nummer", "identificatie string, huisnummer int", "0363")
     assert sorted((r.identificatie, r.huisnummer) for r in got.collect()) == [("0363200000", 2), ("NL.0363.1", 0)]
+
+
+def test_bad_records_are_set_aside(spark, tmp_path):
+    texts = {"gmb-2022-1": "<r>ok</r>", "gmb-2022-2": "<r><title>x</r>", "gmb-2022-3": "", "gmb-2022-4": '<?xml version="1.0"?>\n<r><x:title>y</x:title></r>', "odd": "<r/>"}
+    for name, body in texts.items():
+        (tmp_path / f"{name}.xml").write_text(body)
+    (tmp_path / "gmb-2022-4.metadata.xml").write_text("<m><broken")
+    good, bad = landing.read_records(spark, str(tmp_path))
+    assert {r.id: r.why for r in bad.collect()} == {"gmb-2022-2": "malformed", "gmb-2022-3": "malformed", "odd": "name"}
+    got = {r.id: (r.t, r.a) for r in good.select("id", text.xml_text(F.col("record"), "title").alias("t"), text.xml_attribute(F.col("metadata")).alias("a")).collect()}
+    assert got == {"gmb-2022-1": (None, ""), "gmb-2022-4": ("y", "")}
+    with pytest.raises(Exception, match="(?i)path"):
+        landing.read_records(spark, str(tmp_path / "absent"))[0].collect()
+
+
+def test_json_values_follow_one_another(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": "}{"}{"b":\n [1,\n 2]}\n\n  3 "x"[4.10]')
+    assert sorted(r.value for r in landing.json_values(spark, str(tmp_path / "a.json")).collect()) == sorted(['{"a": "}{"}', '{"b":\n [1,\n 2]}', "3", '"x"', "[4.10]"])
+    (tmp_path / "b.json").write_text('{"a": 1} {"b": ')
+    with pytest.raises(Exception, match="not JSON after 1 values"):
+        landing.json_values(spark, str(tmp_path / "b.json")).collect()
+    (tmp_path / "c.json").write_text(" \n")
+    assert landing.json_values(spark, str(tmp_path / "c.json")).collect() == []
+
+
+def test_search_spans(spark):
+    def get(url):
+        start, most = (int(url.split(f"{k}=")[1].split("&")[0]) for k in ("startRecord", "maximumRecords"))
+        rows = range(start, min(start + min(most, 2), 8))
+        return f'<r><numberOfRecords>7</numberOfRecords>{"".join(f"<recordData>{k}</recordData>" for k in rows)}</r>'.encode()
+
+    out = pages.sru(spark, get, "http://x", "q", page=3, span=4, pace=0.0)
+    assert sorted((r.page, r.value) for r in out.collect()) == [(k, f"<recordData>{k}</recordData>") for k in range(1, 8)] and out.rdd.getNumPartitions() == 2
+    none = pages.sru(spark, lambda u: b"<r><numberOfRecords>0</numberOfRecords></r>", "http://x", "q", pace=0.0)
+    assert none.collect() == []
