@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from canopy.functions.dates import FLOOR, OVERLAP_DAYS, since
 from canopy.sources.files import Files
 
+BUCKETS = 64
+
 
 class Cursor:
     """A high-water mark in a one-row JSON file on any store; missing or empty means the floor."""
@@ -44,28 +46,31 @@ class Cursor:
 def harvest_stream(spark: SparkSession, folder: str, schema, target: str, checkpoint: str, keys: list[str], order: str, glob: str = "*.parquet") -> DataFrame:
     """Reads what is new in a folder, keeps the latest row by key in the target, and gives the target.
 
-    Each micro-batch writes a whole new version of the target next to the old
-    one; the version number is the batch's, so a repeated batch overwrites its own.
+    Keys are dealt to BUCKETS buckets. A micro-batch writes new versions of the
+    buckets it touches, under its own number, so a repeated batch overwrites its own,
+    an unfinished one isn't seen, and the other buckets stay as they are.
     """
     files = Files(spark)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
-    def current(before: int | None = None) -> str | None:
-        """The latest finished version, or the latest one before a batch."""
-        done = [int(n[1:]) for n in files.names(target) if files.exists(f"{target}/{n}/_SUCCESS")]
-        done = [v for v in done if before is None or v < before]
-        return f"{target}/v{max(done)}" if done else None
+    def current(before: int | None = None) -> dict[int, str]:
+        """By bucket its latest finished version, or the latest one before a batch."""
+        done = sorted(int(n[1:]) for n in files.names(target) if files.exists(f"{target}/{n}/_SUCCESS"))
+        return {int(n.partition("=")[2]): f"{target}/v{v}/{n}" for v in done if before is None or v < before for n in files.names(f"{target}/v{v}") if n.startswith("__bucket=")}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        prior = current(batch_id)
-        rows = batch if prior is None else spark.read.parquet(prior).select(batch.columns).unionByName(batch)
+        touched = {r[0] for r in batch.select(bucket).distinct().collect()}  # at most BUCKETS
+        prior = [path for k, path in current(batch_id).items() if k in touched]
+        rows = batch.unionByName(spark.read.schema(batch.schema).parquet(*prior)) if prior else batch
         others = [c for c in batch.columns if c not in keys]
         latest = rows.groupBy(*keys).agg(F.max(F.struct(order, *[c for c in others if c != order])).alias("_r"))
-        latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(batch.columns).write.mode("overwrite").parquet(f"{target}/v{batch_id}")
+        latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*batch.columns, bucket.alias("__bucket")).write.mode("overwrite").partitionBy("__bucket").parquet(f"{target}/v{batch_id}")
 
     stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(schema).parquet(current()) if current() else spark.createDataFrame([], schema)
+    found = current()
+    return spark.read.schema(schema).parquet(*found.values()) if found else spark.createDataFrame([], schema)
 
 
 def windowed_counts(spark: SparkSession, folder: str, schema, glob: str, checkpoint: str, out: str, late: str = "7 days") -> DataFrame:
