@@ -22,8 +22,10 @@ and all others share one.
 
 Defined cases: null and empty texts have no losses and a null score; without
 any target document both models are the background's and scores are zero;
-conflicting labels leave a document out of the target; an empty table gives no
-rows.
+conflicting labels leave a document out of the target; repeated rows each
+count and get a row; equally frequent n-grams are all in the head or all out
+of it; very long texts are read whole; other columns are not looked at; an
+empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ partition, so no task ever holds all pieces of a length.
 
 Defined cases: a null text is empty and gives the one closing id; an empty
 table gives no rows; rows that repeat are packed as often as they occur; a
-row with a null identifier is packed like any other.
+row with a null identifier is packed like any other; a very long text fills as
+many sequences as it needs; pieces of one length take their places in any
+order; other columns are not looked at.
 """
 
 from __future__ import annotations

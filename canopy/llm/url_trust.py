@@ -16,8 +16,10 @@ moves shrinks by the damping each round, which bounds their number.
 Defined cases: a null url, or one without `://`, has an empty host and path,
 fits no rule and is allowed unless the empty host is distrusted; null html has
 no links; links without a host are their own host's and change nothing; hosts
-that no seed reaches are allowed; repeated rows each count and get a row; an
-empty table gives no rows.
+that no seed reaches, or whose trust and distrust are equal, are allowed; of
+rules of one length the later one in the order of their names wins; very long
+urls and pages are scanned whole; repeated rows each count and get a row;
+other columns are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
