@@ -112,7 +112,8 @@ class PositionalIndex:
         two = self.postings.join(self.probes.select(F.col("t2").alias("term"), "phrase", "o2"), "term")
         two = two.select(*KEY, "phrase", (F.col("pos") - F.col("o2")).alias("start"))
         both = one.filter("start >= 0 AND skip >= 0").join(two, [*KEY, "phrase", "start"], "left_semi")
-        same = F.slice("near", F.col("skip") + 1, F.size("words")) == F.col("words")
+        # Spark may look at the words before it looks at skip, and has no place 0 in an array.
+        same = F.slice("near", F.greatest(F.col("skip") + 1, F.lit(1)), F.size("words")) == F.col("words")
         return both.filter(same).select(*KEY, "phrase", "start", F.size("words").alias("length")).distinct()
 
     def phrases(self) -> DataFrame:

@@ -96,6 +96,17 @@ def test_leaks_with_and_without_broadcasts(spark, docs, monkeypatch, broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rare_term_before_its_place_in_the_window(spark, docs):
+    from test_text import brute_leaks
+
+    items = [(1, "common rare one two three four five six"), (2, "one rarer"), (3, "two three common scarce five six one four")]
+    pairs = [(k, t) for k, t in enumerate(["rare one two three four", "rarer", "scarce five", "x scarce", "one rarer", "common " * 5 + "rare one two three four five six", "rare common rare one two three four five six"])]
+    for parts in (1, 3):
+        out = decontaminate.contamination(spark, docs(pairs).repartition(parts), spark.createDataFrame(items, "item_id long, text string"))
+        assert sorted(map(tuple, out.collect())) == brute_leaks(pairs, items)
+        assert decontaminate.keep_uncontaminated(spark, docs(pairs).repartition(parts), spark.createDataFrame(items, "item_id long, text string")).count() == 4
+
+
 def brute_hilbert(pairs, shards, bits=6):
     """Places from plain Python: exact quantiles, hashed categories, the published axes-to-index algorithm."""
     h = lambda t: (x := xxhash.xxh64_intdigest(t.encode(), 42)) - (x >> 63 << 64)
