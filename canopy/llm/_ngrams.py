@@ -26,37 +26,37 @@ PENDING = 4 << 20  # codes held in a task before they are summed up
 Coder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
-def _summed(code: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    seen, where = np.unique(code, return_inverse=True)
-    return seen, [np.bincount(where, c, len(seen)).astype(np.int64) for c in columns]
-
-
 def _counter(coder: Coder, flags: list[str]):
-    names = ["code", "n_all", *(f"n_{f}" for f in flags)]
+    """Counts of codes with their flags in the lowest bits, so that a plain sort finds both."""
+    bits = len(flags)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[] for _ in names]
+    def counted(held: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        seen, where = np.unique(np.concatenate(held), return_inverse=True)
+        return seen, np.bincount(where, np.concatenate(n), len(seen)).astype(np.int64)
 
-        def summed() -> list[np.ndarray]:
-            seen, sums = _summed(np.concatenate(held[0]), [np.concatenate(h) for h in held[1:]])
-            return [seen, *sums]
+    def rows(seen: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        cols = [seen >> bits, n, *(n * (seen >> k & 1) for k in range(bits))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["code", "n_all", *(f"n_{f}" for f in flags)])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], []
         for whole in batches:
             for batch in _text.chunks(whole):
                 code, offsets = coder(batch.column("text"))
-                marks = [np.repeat(batch.column(f).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(offsets)) for f in flags]
-                seen, sums = _summed(code, [np.ones(len(code), np.int64), *marks])
-                for h, x in zip(held, [seen, *sums], strict=True):
-                    h.append(x)
-            if sum(map(len, held[0])) > PENDING:
-                now = summed()
-                if len(now[0]) > PENDING // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in now], names=names)
-                    held = [[] for _ in names]
-                else:
-                    held = [[x] for x in now]
-        if held[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in summed()], names=names)
+                marks = np.zeros(batch.num_rows, np.int64)
+                for k, f in enumerate(flags):
+                    marks |= batch.column(f).to_numpy(zero_copy_only=False).astype(np.int64) << k
+                seen, own = np.unique(code << bits | np.repeat(marks, np.diff(offsets)) if bits else code, return_counts=True)
+                held.append(seen)
+                n.append(own)
+            if sum(map(len, held)) > PENDING:
+                seen, own = counted(held, n)
+                held, n = [seen], [own]
+                if len(seen) > PENDING // 2:
+                    yield rows(seen, own)
+                    held, n = [], []
+        if held:
+            yield rows(*counted(held, n))
 
     return run
 
