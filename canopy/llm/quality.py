@@ -2,10 +2,11 @@
 
 The model is one of bytes, ORDER long, so that it also knows unseen words. It
 learns from trusted texts (quality 1, not toxic); a second one like it learns
-from texts labelled toxic. Each takes at most TRAIN_BYTES of different texts,
-chosen by a hash of the text, so copies stay on one side. Counts, continuation
-counts, context totals and the discounts of Chen and Goodman are DataFrame
-aggregates and joins over n-grams packed into integers.
+from texts labelled toxic. Each learns from every different text whose hash
+falls into the first TRAIN_SHARE, however many there are; the other trusted
+texts, all of them, set the thresholds. Copies stay on one side. Counts,
+continuation counts, context totals and the discounts of Chen and Goodman are
+DataFrame aggregates and joins over n-grams packed into integers.
 
 The n-grams of the whole corpus are counted into a distributed table and meet
 the models' probabilities and back-off weights by joins of sharded tables,
@@ -43,7 +44,6 @@ from canopy.llm._ngrams import HEAD, SCALE, count_ngrams, fixed, sums_by_row
 from canopy.llm._store import KEY, Work, keyed, table
 
 ORDER = 4
-TRAIN_BYTES = 8_000_000
 TRAIN_SHARE = 0.8
 QUANTILE = 0.993
 GRAIN = 1_000
@@ -79,8 +79,9 @@ def _discounts(df: DataFrame) -> list[float]:
 class KneserNey:
     """By order, tables of probabilities (code, p) and of back-off weights (context, g)."""
 
-    def __init__(self, work: Work, texts: DataFrame, order: int = ORDER, name: str = "model"):
-        counts = {order: work.save(count_ngrams(texts, coder(order)).withColumnRenamed("n_all", "c"), f"{name}-count{order}")}
+    def __init__(self, work: Work, texts: DataFrame | None, order: int = ORDER, name: str = "model", counted: DataFrame | None = None):
+        """Learns from texts(text), or from their n-grams (code, c) if these are counted already."""
+        counts = {order: work.save(count_ngrams(texts, coder(order)).withColumnRenamed("n_all", "c"), f"{name}-count{order}") if counted is None else counted}
         for k in range(order - 1, 0, -1):  # how many different symbols stand before each
             low = F.col("code").bitwiseAND(F.lit((1 << BITS * k) - 1)).alias("code")
             counts[k] = work.save(counts[k + 1].groupBy(low).agg(F.count("*").alias("c")), f"{name}-count{k}")
@@ -120,15 +121,13 @@ def log_probabilities(work: Work, corpus: DataFrame, models: dict[str, KneserNey
     return corpus.join(below, "code")
 
 
-def _training(work: Work, docs: DataFrame, marked: DataFrame, train_bytes: int, name: str) -> tuple[DataFrame, float]:
-    """Different texts of marked rows by their fold, up to train_bytes and TRAIN_SHARE of them, and the fold they end at."""
-    texts = marked.groupBy("text_hash", "fold").agg(F.min("size").alias("size"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("of"))
-    share = min(TRAIN_SHARE, train_bytes / (texts.agg(F.sum("size")).first()[0] or 1))
-    # A text counts as 64 bytes at least, so about train_bytes / 64 rows are summed up and joined at most.
-    upto = F.sum("size").over(Window.orderBy("fold", "text_hash"))
-    chosen = work.save(texts.filter(F.col("fold") < share).withColumn("upto", upto).filter(F.col("upto") <= train_bytes).select("text_hash", F.col("of.doc_id").alias("doc_id")), f"chosen-{name}")
-    own = docs.join(chosen.withColumnRenamed("doc_id", "_own"), "text_hash").filter(F.col("doc_id").eqNullSafe(F.col("_own")))
-    return own.groupBy("text_hash").agg(F.first("text").alias("text")), share
+def _training(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """(text, good, bad): every different text of marked rows in the fold to learn from, once."""
+    of = marked.filter(F.col("fold") < TRAIN_SHARE).groupBy("text_hash").agg(F.min("doc_id").alias("doc"), F.max("good").alias("good"), F.max("bad").alias("bad"))
+    chosen = of.select("doc", F.shiftleft("text_hash", 1).alias("sig"), "good", "bad")  # marked rows have identifiers
+    # Dealt by identifier and text, so no group of copies is a hot key, and texts move once, however many are learnt from.
+    own = keyed(docs, "text").join(chosen.hint("merge"), KEY)
+    return own.groupBy(*KEY).agg(F.first("text").alias("text"), F.first("good").alias("good"), F.first("bad").alias("bad")).drop(*KEY)
 
 
 def _thresholds(df: DataFrame, keys: list[str], values: dict[str, F.Column], share: float) -> DataFrame:
@@ -144,19 +143,17 @@ def _thresholds(df: DataFrame, keys: list[str], values: dict[str, F.Column], sha
     return upto.filter(F.col("upto") >= share * F.col("whole")).groupBy(*keys, "name").agg(F.expm1((F.min("bin") + 1) / GRAIN).alias("threshold"))
 
 
-def judge_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_bytes: int = TRAIN_BYTES, quantile: float = QUANTILE, order: int = ORDER, head: int = HEAD) -> DataFrame:
+def judge_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER, head: int = HEAD) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, toxicity, their thresholds, kept and the text's hash for each row of docs(doc_id, text, lang)."""
     work = Work(spark, "quality")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("text_hash"))
     fold = (F.pmod(F.xxhash64("text_hash", F.lit("fold")), F.lit(1 << 20)) / (1 << 20)).alias("fold")
-    sizes = work.save(docs.filter("text IS NOT NULL").select("doc_id", "text_hash", fold, (F.octet_length("text") + 64).cast("long").alias("size")), "sizes")
+    hashes = work.save(docs.filter("text IS NOT NULL").select("doc_id", "text_hash", fold), "hashes")
     toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
     told = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.coalesce(F.col("quality") == 1, F.lit(False)) & ~toxic).alias("good"), F.max(toxic).alias("bad"))
-    marked = work.save(sizes.join(told.filter("good OR bad"), "doc_id"), "marked")
-    good = marked.filter("good")
-    texts, share = _training(work, docs, good, train_bytes, "good")
-    models = {"trusted": KneserNey(work, texts, order, "trusted")}
-    models["toxic"] = KneserNey(work, _training(work, docs, marked.filter("bad"), train_bytes, "bad")[0], order, "toxic")
+    marked = work.save(hashes.join(told.filter("good OR bad"), "doc_id"), "marked")
+    learnt = work.save(count_ngrams(_training(docs, marked), coder(order), "good", "bad"), "learnt")
+    models = {m: KneserNey(work, None, order, m, learnt.filter(F.col(n) > 0).select("code", F.col(n).alias("c"))) for m, n in (("trusted", "n_good"), ("toxic", "n_bad"))}
     corpus = work.save(count_ngrams(docs, coder(order)), "corpus")
     logs = log_probabilities(work, corpus, models, order)
     knows = not models["toxic"].p[1].isEmpty()
@@ -168,7 +165,7 @@ def judge_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train
     perplexity = F.when(has, F.exp(F.least(-F.col("log") / SCALE / F.col("n_tokens"), F.lit(60.0))))
     toxicity = F.when(has, F.col("excess") / SCALE / F.sqrt("n_tokens"))
     scored = work.save(sums.select("doc_id", "lang", "text_hash", F.col("n_tokens").alias("n_bytes"), perplexity.alias("perplexity"), toxicity.alias("toxicity")), "judged")
-    unseen = good.filter(F.col("fold") >= share).select("doc_id", "text_hash").distinct()
+    unseen = marked.filter("good").filter(F.col("fold") >= TRAIN_SHARE).select("doc_id", "text_hash").distinct()
     measured = scored.filter("perplexity IS NOT NULL").join(unseen, ["doc_id", "text_hash"], "left_semi")
     values = {c: F.col(c) for c in ("perplexity", "toxicity")}
     of = lambda df, k: df.filter(F.col("name") == k).drop("name")

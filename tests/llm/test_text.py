@@ -212,6 +212,32 @@ def test_quality_thresholds_by_brute_force(spark, docs):
     assert not any(out[k].kept for k in range(160, 201)) and sum(out[k].kept for k in range(160)) >= 130  # about 16 unseen texts set a threshold
 
 
+def test_quality_learns_from_every_trusted_text(spark, docs):
+    """16 MB of trusted and 10 MB of toxic texts: each in the fold to learn from counts, copies once; the probes tell which."""
+    rng = random.Random(31)
+    line = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(90, 110)))
+    lines = [line() for _ in range(52)]
+    texts = [x * 5000 for x in lines] + lines + [lines[0] * 5000, None, ""]
+    labels = labels_of(spark, [(k, 1, 0) for k in [*range(32), 104]] + [(k, 0, 1) for k in range(32, 52)])
+    out = {r.doc_id: r for r in quality.judge_quality(spark, docs(texts), labels).collect()}
+    fold = {r.doc_id: r.f for r in docs(texts).select("doc_id", (F.pmod(F.xxhash64(F.xxhash64("text"), F.lit("fold")), F.lit(1 << 20)) / (1 << 20)).alias("f")).collect()}
+    learnt = [k for k in range(52) if fold[k] < quality.TRAIN_SHARE]
+    assert sum(len(texts[k]) for k in learnt if k < 32) > 10_000_000 and sum(len(texts[k]) for k in learnt if k >= 32) > 6_000_000
+    work = Work(spark, "t")
+    models = {m: quality.KneserNey(work, docs([texts[k] for k in ids]).select("text"), name=m) for m, ids in (("trusted", [k for k in learnt if k < 32]), ("toxic", [k for k in learnt if k >= 32]))}
+    logs = quality.log_probabilities(work, quality.count_ngrams(docs(texts), quality.coder(quality.ORDER)), models, quality.ORDER)
+    logs = logs.withColumn("log", quality.fixed("trusted"))
+    want = {r.doc_id: r for r in quality.sums_by_row(work, docs(texts).select("doc_id", "text"), logs, quality.coder(quality.ORDER), ["log"]).collect()}
+    assert len(out) == len(texts) and out[104].perplexity == out[0].perplexity
+    for k in range(104):
+        assert math.isclose(out[k].perplexity, math.exp(-want[k].log / quality.SCALE / want[k].n_tokens), rel_tol=1e-6)
+    for k in range(52):  # what is learnt is foreseen, what isn't is not
+        if k < 32:
+            assert (out[k].perplexity < 5) == (k in learnt)
+        else:
+            assert out[k].perplexity > 5 and (out[k].toxicity > 1000) == (k in learnt)
+
+
 def labels_of(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
