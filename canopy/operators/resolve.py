@@ -7,10 +7,13 @@ hold best-known versions only; areas(area, polygon).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from heapq import heappop, heappush
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.functions.dates import valid_at
 from canopy.functions.spatial import bounds, cell, contains
 from canopy.functions.text import trigrams
 from canopy.sources.files import written
@@ -31,11 +34,96 @@ def addresses(streets: DataFrame, numbers: DataFrame, objects: DataFrame) -> Dat
     return numbers.join(s, "street", "left").join(o, "ident")
 
 
+class _Timeline:
+    """The steps of one key, out of its addresses by day of beginning: who answers from which day on."""
+
+    def __init__(self, key: tuple):
+        self.key, self.heap, self.steps, self.any = key, [], [], None
+
+    def _step(self, since) -> None:
+        answer = self.heap[0] if self.heap else None
+        if self.steps and self.steps[-1][0] == since:
+            self.steps.pop()
+        if answer is not (self.steps[-1][1] if self.steps else None):
+            self.steps.append((since, answer))
+
+    def _expire(self, until) -> None:
+        """The first in rank gives way at its end to the next one that still holds."""
+        while self.heap and (end := self.heap[0][1]) is not None and (until is None or end <= until):
+            while self.heap and self.heap[0][1] is not None and self.heap[0][1] <= end:
+                heappop(self.heap)
+            self._step(end)
+
+    def add(self, begin, end, rank: int, payload: tuple) -> None:
+        if self.any is None or rank < self.any[0]:
+            self.any = (rank, end, payload)
+        if begin is None or (end is not None and end <= begin):
+            return
+        self._expire(begin)
+        if self.heap and self.heap[0][0] < rank and (self.heap[0][1] is None or (end is not None and end <= self.heap[0][1])):
+            return  # never the first while it holds
+        heappush(self.heap, (rank, end, payload))
+        self._step(begin)
+
+    def rows(self) -> Iterator[tuple]:
+        self._expire(None)
+        for since, answer in [(None, None), *self.steps]:
+            yield (*self.key, since, answer is not None, *(answer or self.any)[2])
+
+
+def _timelines(width: int, schema: pa.Schema):
+    """Rows (keys..., begin, end, rank, ident, ax, ay), sorted by keys and beginning, to steps (keys..., since, valid, ident, ax, ay)."""
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line, out = None, []
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        for some in batches:
+            for row in zip(*[c.to_pylist() for c in some.columns]):
+                if line is None or line.key != row[:width]:
+                    out.extend(line.rows() if line else ())
+                    line = _Timeline(row[:width])
+                    if len(out) >= 10000:
+                        yield batch()
+                        out = []
+                line.add(*row[width : width + 3], row[width + 3 :])
+        out.extend(line.rows() if line else ())
+        if out:
+            yield batch()
+
+    return sweep
+
+
+def answers(addresses: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., since, valid, ident, ax, ay): which address of a key answers a request from a day on, until the next such day.
+
+    Of those valid then the first in the order of ident, ax and ay, else the first of all;
+    the row without a day stands for what is before them. A key has no more rows than days at
+    which its addresses change, so requests meet one row each, however many share a key.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    known = addresses.select(*keys, "begin", "end", "ident", "ax", "ay").dropna(subset=keys)
+    ranked = known.select(*keys, "begin", "end", F.row_number().over(Window.partitionBy(*keys).orderBy("ident", "ax", "ay")).alias("rank"), "ident", "ax", "ay")
+    ordered = ranked.repartition(*keys).sortWithinPartitions(*keys, F.col("begin").asc_nulls_first())
+    schema = known.select(*keys, F.col("begin").alias("since"), F.lit(True).alias("valid"), "ident", "ax", "ay").schema
+    return ordered.mapInArrow(_timelines(len(keys), to_arrow_schema(schema)), schema)
+
+
+def answered(requests: DataFrame, steps: DataFrame, keys: list[str]) -> DataFrame:
+    """requests(id, at, keys...) with the address that answers: looked up once for each day asked of a key, by one sort of both."""
+    asked = requests.select(*keys, "at").distinct().withColumn("_step", F.lit(None).cast(steps.select(F.struct("valid", "ident", "ax", "ay")).schema[0].dataType))
+    both = asked.unionByName(steps.select(*keys, F.col("since").alias("at"), F.struct("valid", "ident", "ax", "ay").alias("_step")))
+    until = Window.partitionBy(*keys).orderBy(F.col("at").asc_nulls_first(), F.col("_step").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    told = both.withColumn("_told", F.last("_step", ignorenulls=True).over(until)).filter("_step IS NULL AND _told IS NOT NULL")
+    told = told.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("at").alias("_at"), "_told")
+    same = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("at").eqNullSafe(F.col("_at"))]
+    return requests.join(told, same).select(*requests.columns, "_told.*")
+
+
 def _pick(joined: DataFrame, tier: str, similar=None) -> DataFrame:
     """One address per request: most similar, valid at the date first, then the smallest identifier."""
-    valid = F.coalesce(valid_at(F.col("begin"), F.col("end"), F.col("at")), F.lit(False))
     score = F.lit(0.0) if similar is None else -similar
-    order = F.struct(score.alias("s"), (~valid).alias("v"), F.col("ident"), F.col("ax"), F.col("ay"))
+    order = F.struct(score.alias("s"), (~F.col("valid")).alias("v"), F.col("ident"), F.col("ax"), F.col("ay"))
     best = joined.groupBy("id").agg(F.min(order).alias("b"))
     return best.select("id", F.lit(tier).alias("via"), F.col("b.ident").alias("ident"), F.col("b.ax").alias("ax"), F.col("b.ay").alias("ay"), (~F.col("b.v")).alias("valid"))
 
@@ -79,18 +167,23 @@ def resolve(requests: DataFrame, streets: DataFrame, numbers: DataFrame, objects
     """A row per request: level, confidence in hundredths, identifier, point, area, time match and caveats.
 
     Each tier sees only what the finer ones missed, so the fuzzy one stays small;
-    what several tiers read is written once.
+    what several tiers read is written once. No request is paired with the addresses
+    that share its code or street, only with the one that answers it.
     """
     found = written(addresses(streets, numbers, objects), "addresses")
-    by_code = requests.filter("postcode IS NOT NULL AND huisnummer IS NOT NULL").join(found.drop("street"), ["postcode", "huisnummer"])
-    one = written(_pick(by_code, "postcode_number"), "by-code")
+    by_code = ["postcode", "huisnummer"]
+    one = written(_pick(answered(requests.select("id", "at", *by_code).dropna(subset=by_code), answers(found, by_code), by_code), "postcode_number"), "by-code")
     left = requests.join(one.select("id"), "id", "left_anti").filter("street IS NOT NULL AND huisnummer IS NOT NULL")
-    named = left.select("id", "huisnummer", "at", F.lower("street").alias("wanted"))
+    named = left.select("id", "at", "huisnummer", F.lower("street").alias("wanted"))
     lower = found.select("ident", "huisnummer", "begin", "end", "ax", "ay", F.lower("naam").alias("naam"))
-    two = written(_pick(named.join(lower, (named.wanted == lower.naam) & (named.huisnummer == lower.huisnummer)).drop(lower.huisnummer), "street"), "by-street")
+    by_name = ["naam", "huisnummer"]
+    steps = written(answers(lower, by_name), "by-name")
+    two = written(_pick(answered(named.withColumnRenamed("wanted", "naam"), steps, by_name), "street"), "by-street")
     rest = written(named.join(two.select("id"), "id", "left_anti"), "misspelt")
-    like = similar_streets(rest, lower)
-    three = _pick(rest.join(like, "wanted").join(lower, ["naam", "huisnummer"]), "fuzzy", F.col("sim"))
+    # Of the similar streets only the most similar with the number can answer, whatever the day.
+    asked = rest.select("wanted", "huisnummer").distinct().join(similar_streets(rest, lower), "wanted").join(steps.select(*by_name).distinct(), by_name)
+    most = asked.withColumn("_most", F.max("sim").over(Window.partitionBy("wanted", "huisnummer"))).filter(F.col("sim") == F.col("_most")).drop("_most")
+    three = _pick(answered(rest.join(most, ["wanted", "huisnummer"]).select("id", "at", *by_name, "sim"), steps, by_name), "fuzzy", F.col("sim"))
     hits = one.unionByName(two).unionByName(three)
     codes = numbers.select("postcode").distinct().withColumn("known", F.lit(True))
     floor = areas_of(requests.select("id", "x", "y"), areas)
