@@ -11,12 +11,25 @@ from pyspark.sql import functions as F
 
 from canopy.functions.spatial import rectangle
 from canopy.operators.resolve import best_known
+from canopy.sources.files import small_tasks
+
+
+SPREAD = 1 << 14
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_tasks(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, rows: int = SPREAD) -> DataFrame:
+    """A table's rows by their first column over as many tasks as they need, however few files and row groups they come from.
+
+    For rows that are about to become many: what a task holds then doesn't grow with the table.
+    """
+    return df.repartition(-(-df.count() // rows) or 1, df.columns[0])
+
+
 def _areas(spark, sf):
     """How many areas there are, as a scalar subquery."""
     return table(spark, sf, "supplier").agg(F.count("*").alias("n")).scalar()
@@ -33,9 +46,12 @@ def permits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fellings(spark: SparkSession, sf: str) -> DataFrame:
-    """felling, felled, area, x, y: line items by their four-column key."""
+    """felling, felled, area, x, y: line items by their four-column key.
+
+    They are dealt out first, as a task that reads would hold nearly all of its rows as groups of its own.
+    """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    g = table(spark, sf, "lineitem").groupBy(*keys).agg(F.min("l_shipdate").alias("felled"))
+    g = table(spark, sf, "lineitem").select(*keys, "l_shipdate").repartition(*keys).groupBy(*keys).agg(F.min("l_shipdate").alias("felled"))
     g = g.withColumn("area", F.col("l_suppkey") % _areas(spark, sf))
     return g.select(
         F.concat_ws("-", *keys).alias("felling"),

@@ -6,11 +6,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from canopy.plans import bindings as b
 
-def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+
+def relation(spark: SparkSession, sf_dir: str, sql: str, read=b.table) -> DataFrame:
     """Runs SQL that names tables as {table}."""
     names = set(re.findall(r"\{(\w+)\}", sql))
-    return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
+    return spark.sql(sql, **{n: read(spark, sf_dir, n) for n in names})
 
 
 def plain(sql: str) -> str:

@@ -88,7 +88,7 @@ def landed_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as landed JSON: two values a line, the second over several lines; read back as rows."""
     at = own_dir(spark, "landed")
     value = F.format_string('{"_embedded": {"k": [{"id": 1%d234567890123, "soort": "a\\"}{"}]}} {"features": [\n {"properties":\n  {"id": %d, "soort": null},\n "geometry": {"type": "Point", "coordinates": [%d, 2.5]}}]}\n', "p_partkey", "p_partkey", "p_size")
-    b.table(spark, sf, "part").select(value.alias("value")).write.text(at)
+    b.spread(b.table(spark, sf, "part").select("p_partkey", "p_size")).select(value.alias("value")).write.text(at)
     rows = landing.read_envelopes(spark, at, "k", {"id": "string", "soort": "string"})
     point = spatial.point_from_geojson(F.col("geometry"))
     return rows.select("id", "soort", point["x"].alias("x"), point["y"].alias("y"))
@@ -269,8 +269,17 @@ _HITS = """SELECT o_orderkey AS id, lpad(CAST(c_custkey AS STRING), 9, '0') AS i
 
 
 def nearest_hits(spark: SparkSession, sf: str) -> DataFrame:
-    """Of each order's hits, valid ones before others, the nearest to its own point."""
-    return resolve.nearest_of(relation(spark, sf, _HITS), "id", "x", "y").withColumn("dist", F.round("dist", 6))
+    """Of each order's hits, valid ones before others, the nearest to its own point.
+
+    A customer is handed to the few keys that its range reaches, so that the join is by one key;
+    orders are dealt out, as a task sorts the hits of all of its orders.
+    """
+    reach = F.array(*[F.lit(100 * k) for k in range(-3, 4)])
+    c = b.table(spark, sf, "customer").select("c_custkey", F.explode(F.transform(reach, lambda d: F.col("c_custkey") + d)).alias("at"))
+    near = (F.col("o_custkey") % 100 == F.col("c_custkey") % 100) & (F.col("o_custkey") < F.col("c_custkey") + 300) & (F.col("c_custkey") <= F.col("o_custkey") + 300)
+    pairs = b.spread(b.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), 1 << 18).join(c, F.col("o_custkey") == F.col("at")).filter(near)
+    hits = spark.sql(_HITS[: _HITS.index(" FROM {")] + " FROM {pairs}", pairs=pairs)
+    return resolve.nearest_of(hits, "id", "x", "y").withColumn("dist", F.round("dist", 6))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -72,6 +72,16 @@ class Files:
         fs.delete(at, True)
 
 
+def small_tasks(spark: SparkSession, mb: int = 4) -> None:
+    """Lets Spark merge shuffle partitions up to so many MB only.
+
+    It goes by compressed bytes, and tables of identifiers shrink to a fiftieth: tasks of the usual 64 MB would need gigabytes.
+    """
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > mb << 20:
+        spark.conf.set(key, f"{mb}m")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; only a local session without one gets its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -25,6 +25,7 @@ from canopy.sources.files import Files
 PROVENANCE = "source_url string, fetched_at timestamp, byte_size long, content_sha256 string, version string"
 VERSION = "%Y%m%dT%H%M%SZ"
 _NOT_BLANK = re.compile(r"[^ \t\r\n]").search
+_NO_BRACKET = re.compile(r'"(?:[^"\\]|\\.)*"|[^][{}"]+|"')
 
 
 class Landing:
@@ -94,23 +95,66 @@ def read_records(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
     return good.join(side, "id", "left"), skipped
 
 
+class _Values:
+    """Top-level JSON values of one file, line by line: no more is held than the value that is open."""
+
+    def __init__(self):
+        self.decode = json.JSONDecoder().raw_decode
+        self.text, self.lines, self.depth, self.count, self.passed = "", [], 0, 0, 0
+
+    def add(self, line: str) -> list[str]:
+        """The values that this line completes; brackets tell when that may be, as no string goes on over a line's end."""
+        self.lines.append(line)
+        brackets = _NO_BRACKET.sub("", line)
+        low = self.depth
+        for c in brackets:
+            self.depth += 1 if c in "{[" else -1
+            low = min(low, self.depth)
+        return self.taken(self.depth <= 0) if low <= 0 else []
+
+    def taken(self, whole: bool) -> list[str]:
+        text, at, found = "\n".join([self.text, *self.lines] if self.text else self.lines), 0, []
+        while (start := _NOT_BLANK(text, at)) is not None:
+            try:
+                _, end = self.decode(text, start.start())
+            except json.JSONDecodeError as e:
+                if not whole:
+                    break  # the value goes on
+                raise ValueError(f"not JSON after {self.count} values, at character {self.passed + start.start()}: {e}") from e
+            found.append(text[start.start() : end])
+            at, self.count = end, self.count + 1
+        self.text, self.lines, self.passed = text[at:] if start else "", [], self.passed + (at if start else len(text) + 1)
+        return found
+
+
 def _json_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    decode = json.JSONDecoder().raw_decode
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            at, found = 0, []
-            while (start := _NOT_BLANK(text, at)) is not None:
-                try:
-                    _, at = decode(text, start.start())
-                except json.JSONDecodeError as e:
-                    raise ValueError(f"not JSON after {len(found)} values, at character {start.start()}: {e}") from e
-                found.append(text[start.start() : at])
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["value"])
+    """Lines (file, value) in order to values; a value is handed on with a few others."""
+    file, values, found, size = None, None, [], 0
+    batch = lambda: pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["value"])
+    for some in batches:
+        for name, line in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+            if name != file:
+                found += values.taken(True) if values else []
+                file, values = name, _Values()
+            new = values.add(line)
+            found += new
+            size += sum(map(len, new))
+            if size > 1 << 22:
+                yield batch()
+                found, size = [], 0
+    found += values.taken(True) if values else []
+    if found:
+        yield batch()
 
 
 def json_values(spark: SparkSession, path: str) -> DataFrame:
-    """(value): the top-level JSON values of files one after the other, whatever the lines; each as it was written."""
-    return spark.read.text(path, wholetext=True).select("value").mapInArrow(_json_values, "value string")
+    """(value): the top-level JSON values of files one after the other, whatever the lines; each as it was written.
+
+    A file's lines come to one task in their order, so it never holds a whole file.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    ordered = lines.repartition("file_path").sortWithinPartitions("file_path", "block", "at")
+    return ordered.select("file_path", "value").mapInArrow(_json_values, "value string")
 
 
 def read_envelopes(spark: SparkSession, path: str, key: str, fields: dict[str, str]) -> DataFrame:

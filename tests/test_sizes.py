@@ -60,3 +60,36 @@ def test_a_request_is_paired_with_one_address_a_tier(spark, monkeypatch):
     monkeypatch.setattr(resolve, "_pick", lambda joined, tier, *a: seen.append((tier, joined.count())) or pick(joined, tier, *a))
     resolve.resolve(*frames).count()
     assert {t for t, _ in seen} == {"postcode_number", "street", "fuzzy"} and all(0 < n <= 400 for _, n in seen), seen
+
+
+def test_hits_are_joined_by_one_key(spark):
+    import re
+
+    from canopy.plans.source_queries import nearest_hits
+
+    plan = nearest_hits(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Join \[[^\]]*o_custkey#\d+L?\], \[.*at#", plan), plan
+
+
+def test_tasks_grow_in_number_not_in_size(spark, tmp_path):
+    from canopy.plans import bindings as b
+    from canopy.plans import graph_queries
+
+    for name, key, rows in (("customer", "c_custkey", 40000), ("nation", "n_nationkey", 5)):
+        columns = ["id AS " + key, *{"customer": ["'x' AS c_mktsegment"], "nation": ["'n' AS n_name"]}[name]]
+        spark.range(rows).coalesce(1).selectExpr(*columns).write.parquet(str(tmp_path / f"{name}.parquet"))
+    quads = graph_queries._live(spark, str(tmp_path))[0].filter(F.col("s").contains("auditlink"))
+    most = quads.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct(F.split("s", "/")[5]).alias("customers")).agg(F.max("customers")).scalar()
+    assert spark.range(1).select(most.alias("n")).first().n < 1.2 * b.SPREAD
+
+
+def test_landed_values_hold_only_the_open_one():
+    from canopy.sources.landing import _Values
+
+    values, most = _Values(), 0
+    for k in range(2000):
+        assert values.add('{"a": "}{", "b": [') == ([] if k == 0 else [f'{{"a": "}}{{", "b": [\n{k - 1}]}}'][:0])
+        assert values.add(f'{k}]}} {{"c": [') == [f'{{"a": "}}{{", "b": [\n{k}]}}']
+        assert values.add("]}") == ['{"c": [\n]}']
+        most = max(most, len(values.text) + sum(map(len, values.lines)))
+    assert most < 100 and values.taken(True) == []
