@@ -125,8 +125,16 @@ def _subject_rules() -> list[tuple[str, str, int, int | None, Column | None, str
     ]
 
 
+CLASSES = ["Intervention", "AuditLink", "Felling", "Observation", "CoveragePeriod", "Place"]
+
+
+def _classes() -> list[Column]:
+    """How often a subject is of each class of the model: plain counts, which a hash aggregate keeps; sets would be sorted in memory."""
+    return [F.count_if((F.col("p") == TYPE) & (F.col("o") == n(k))).alias(f"is{k}") for k in CLASSES]
+
+
 def _subjects(quads: DataFrame) -> DataFrame:
-    """By subject: its classes, whether it is in the scheme, and for each rule how many values there are and how many are wrong.
+    """By subject: its classes, and for each rule how many values there are and how many are wrong.
 
     One pass for all rules, summed up before the shuffle.
     """
@@ -137,7 +145,7 @@ def _subjects(quads: DataFrame) -> DataFrame:
     period = [F.count_if(F.col("p") == n(x)).alias(x) for x in ("linksObservation", "noSourceFound")]
     true = F.count_if((F.col("p") == n("noSourceFound")) & (F.col("o") == "true")).alias("no_source_true")
     return quads.select("s", "p", "o").distinct().groupBy("s").agg(
-        F.collect_set(F.when(F.col("p") == TYPE, F.col("o"))).alias("kinds"), F.max((F.col("p") == "skos:inScheme") & (F.col("o") == SCHEME)).alias("concept"), *counts, *period, true
+        *_classes(), *counts, *period, true
     )
 
 
@@ -148,14 +156,14 @@ def subject_violations(quads: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<path:string,message:string>>")
     confidence = None
     for k, (kind, path, least, most, _, message) in enumerate(_subject_rules()):
-        own = F.array_contains("kinds", n(kind))
+        own = F.col(f"is{kind}") > 0
         broken = (F.col(f"n{k}") < least) | (F.lit(False) if most is None else F.col(f"n{k}") > most)
         found.append(F.when(own & broken, F.array(told(path, f"{kind} needs {least} to {'any' if most is None else most}"))).otherwise(none))
         found.append(F.when(own, F.array_repeat(told(path, message), F.col(f"bad{k}").cast("int"))).otherwise(none))
         confidence = F.col(f"n{k}") if path == n("confidence") else confidence
     matched = (F.col("linksObservation") > 0) & (confidence > 0) & (F.col("noSourceFound") == 0)
     without = (F.col("no_source_true") > 0) & (F.col("linksObservation") == 0) & (confidence == 0)
-    one_form = F.when(F.array_contains("kinds", n("CoveragePeriod")) & (matched == without), F.array(told(n("linksObservation"), "neither or both of matched and without source")))
+    one_form = F.when((F.col("isCoveragePeriod") > 0) & (matched == without), F.array(told(n("linksObservation"), "neither or both of matched and without source")))
     each = F.explode(F.flatten(F.array(*found, F.coalesce(one_form, none))))
     return _subjects(quads).select(F.col("s").alias("focus"), each.alias("v")).select("focus", "v.path", "v.message")
 
@@ -165,13 +173,13 @@ def value_violations(quads: DataFrame) -> DataFrame:
     of = {n("locatedAt"): ("Intervention", "Place"), OF: ("CoveragePeriod", "AuditLink"), n("linksObservation"): ("CoveragePeriod", "Observation")}
     coded = [n(p) for p in ("activity", "species", "status")]
     edges = quads.filter(F.col("p").isin([*of, *coded])).select("s", "p", "o").distinct()
-    kinds = quads.filter((F.col("p") == TYPE) | (F.col("p") == "skos:inScheme")).groupBy("s").agg(F.collect_set(F.when(F.col("p") == TYPE, F.col("o"))).alias("kinds"), F.max((F.col("p") == "skos:inScheme") & (F.col("o") == SCHEME)).alias("concept"))
-    subject = kinds.select("s", F.col("kinds").alias("own"))
-    value = kinds.select(F.col("s").alias("o"), F.col("kinds").alias("theirs"), "concept")
+    kinds = quads.filter((F.col("p") == TYPE) | (F.col("p") == "skos:inScheme")).groupBy("s").agg(*_classes(), F.max((F.col("p") == "skos:inScheme") & (F.col("o") == SCHEME)).alias("concept"))
+    subject = kinds.select("s", *[F.col(f"is{k}").alias(f"own{k}") for k in CLASSES])
+    value = kinds.select(F.col("s").alias("o"), *[f"is{k}" for k in CLASSES], "concept")
     j = edges.join(value, "o", "left").join(subject, "s", "left")
     message = F.when(F.col("p").isin(coded) & ~F.coalesce("concept", F.lit(False)), "values must be concepts of the scheme")
     for path, (kind, target) in of.items():
-        wrong = (F.col("p") == path) & F.array_contains("own", n(kind)) & ~F.coalesce(F.array_contains("theirs", n(target)), F.lit(False))
+        wrong = (F.col("p") == path) & (F.col(f"own{kind}") > 0) & ~F.coalesce(F.col(f"is{target}") > 0, F.lit(False))
         message = message.when(wrong, f"values must be {target}")
     return j.select(F.col("s").alias("focus"), F.col("p").alias("path"), message.alias("message")).filter("message IS NOT NULL")
 

@@ -64,11 +64,11 @@ def _as_sql(rows: list[tuple]) -> str:
 
 
 def _as_frame(spark: SparkSession, sf: str, rows: list[tuple]) -> DataFrame:
-    """The same rows with one scan of each table."""
+    """The same rows with one scan of each table, which is dealt out before each row becomes up to twenty."""
     out = None
     for name in dict.fromkeys(r[0] for r in rows):
         each = [f"CASE WHEN {r[1]} THEN named_struct({', '.join(f'{_q(c)}, {x}' for x, c in zip(r[2:], _COLUMNS))}) END" for r in rows if r[0] == name]
-        part = b.table(spark, sf, name).select(F.explode(F.array_compact(F.array(*map(F.expr, each)))).alias("r")).select("r.*")
+        part = b.spread(b.table(spark, sf, name)).select(F.explode(F.array_compact(F.array(*map(F.expr, each)))).alias("r")).select("r.*")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -189,7 +189,7 @@ def _runs(spark, sf):
     def link(v: int) -> DataFrame:
         each = ", ".join(f"named_struct('graph', 'stage', 's', {s}, 'p', '{p}', 'o', {o})" for s, p, o in [*rows, ("k", g.FROM, f"'2024-0{v}-01'")])
         key = f"CASE WHEN {v} = 2 AND c_nationkey % 3 = 0 THEN '/k2' ELSE '/k1' END"
-        return relation(spark, sf, f"SELECT inline(array({each})) FROM (SELECT c_custkey, {_LINK} AS l, {_LINK} || {key} AS k FROM {{customer}})")
+        return relation(spark, sf, f"SELECT inline(array({each})) FROM (SELECT c_custkey, {_LINK} AS l, {_LINK} || {key} AS k FROM {{customer}})", lambda *a: b.spread(b.table(*a)))
 
     none = spark.createDataFrame([], "graph string, s string, p string, o string, ap string, av string")
     quads, notes = spark.createDataFrame([], "graph string, s string, p string, o string"), none
