@@ -93,3 +93,16 @@ def test_landed_values_hold_only_the_open_one():
         assert values.add("]}") == ['{"c": [\n]}']
         most = max(most, len(values.text) + sum(map(len, values.lines)))
     assert most < 100 and values.taken(True) == []
+
+
+def test_pairs_are_reduced_before_they_are_sorted(spark):
+    import pyarrow as pa
+
+    from canopy.operators import audit
+
+    rows = [("f1", "z2", 5.0, 90), ("f1", "z1", 5.0, 90), ("f1", "z0", None, 90), ("f2", "z9", None, 70), ("f2", "z8", 1.0, 60), ("f1", "z0", 9.0, 95)]
+    batch = pa.RecordBatch.from_pylist([{"zaak": z, "felling": f, "dist": d, "lag": 1, "cents": c} for f, z, d, c in rows])
+    led = [(r["felling"], r["zaak"], r["contenders"]) for out in audit._leaders(iter([batch])) for r in out.to_pylist()]
+    assert led == [("f1", "z1", 3), ("f2", "z9", 2), ("f1", "z0", 1)]
+    scored = spark.createDataFrame([(f, z, "address", d, 1, c) for f, z, d, c in rows], "felling string, zaak string, tier string, dist double, lag int, cents int")
+    assert sorted(map(tuple, audit.assign(scored).select("felling", "zaak", "contenders").collect())) == [("f1", "z0", 4), ("f2", "z9", 2)]
