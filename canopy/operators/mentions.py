@@ -12,10 +12,16 @@ def phrase_matches(texts: DataFrame, forms: DataFrame, longest: int) -> DataFram
     texts(id, text), forms(form, concept) with forms of at most longest words; word
     sequences of each length are joined with the forms on their lower-cased text.
     """
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), "")
     tokens = texts.select("id", words.alias("w"))
-    sizes = F.sequence(F.lit(1), F.lit(longest))
-    spans = F.flatten(F.transform(sizes, lambda k: F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda i: F.struct(i.alias("pos"), k.alias("words"), F.array_join(F.slice("w", i + 1, k), " ").alias("form")))).otherwise(F.array())))
+
+    def spans(k: int):
+        """Each word with the k - 1 after it; at most one word is copied at a time, no slice of the text."""
+        starts = F.slice("w", F.lit(1), F.greatest(F.size("w") - (k - 1), F.lit(0)))
+        form = lambda w, i: w if k == 1 else F.concat_ws(" ", w, *[F.get("w", i + j) for j in range(1, k)])
+        return F.transform(starts, lambda w, i: F.struct(i.alias("pos"), F.lit(k).alias("words"), form(w, i).alias("form")))
+
+    spans = F.concat(*[spans(k) for k in range(1, longest + 1)])
     rows = tokens.select("id", F.explode(spans).alias("x")).select("id", "x.pos", "x.words", "x.form")
     known = forms.select(F.lower("form").alias("form"), "concept").distinct()
     return rows.join(known, "form").select("id", "pos", "words", "concept")
